@@ -1,0 +1,32 @@
+"""Reproducible uniform numbers as a column.
+
+``rand(seed)`` depends on how rows fall into partitions, so a retried task or
+another cluster size would change the data. These depend only on the row: two
+rounds of a quadratic map modulo a prime, in plain bigint arithmetic.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+PRIME = 2_147_483_647  # 2**31 - 1, so a product of two residues fits a bigint
+KEY_STEP, DAY_STEP, STREAM_STEP = 48_271, 69_621, 630_360_016
+ROUND_STEPS = (1_103_515_245, 12_345_701)
+
+
+def uniform(key: Column, day: Column | int, stream: int) -> Column:
+    """A double in [0, 1) from an integer key, a day index and a stream number."""
+    day = day if isinstance(day, Column) else F.lit(day)
+    state = (
+        F.pmod(key.cast("bigint"), F.lit(PRIME)) * F.lit(KEY_STEP)
+        + day.cast("bigint") * F.lit(DAY_STEP)
+        + F.lit(stream * STREAM_STEP)
+    ) % F.lit(PRIME)
+    for step in ROUND_STEPS:
+        state = (state * (state + F.lit(step)) + F.lit(step)) % F.lit(PRIME)
+    return state / F.lit(float(PRIME))
+
+
+def between(low: float, high: float, u: Column) -> Column:
+    return F.lit(low) + F.lit(round(high - low, 9)) * u
