@@ -285,6 +285,6 @@ FROM (SELECT sum(active) AS a, sum(Population) AS p
     "emptiness": FACT
     + f"""
 SELECT 'facts' AS table_name, count(*) = 0 AS is_empty FROM fact
-UNION ALL SELECT 'timeline', count(*) = 0 FROM fact WHERE Country = '{KEY}'
-UNION ALL SELECT 'absent_timeline', count(*) = 0 FROM fact WHERE Country = '{ABSENT_KEY}'""",
+UNION ALL SELECT 'key_facts', count(*) = 0 FROM fact WHERE Country = '{KEY}'
+UNION ALL SELECT 'absent_key_facts', count(*) = 0 FROM fact WHERE Country = '{ABSENT_KEY}'""",
 }

@@ -236,8 +236,8 @@ def emptiness(spark, sf_dir):
     return reports.emptiness(
         {
             "facts": facts,
-            "timeline": cumulative.key_timelines(facts, KEY),
-            "absent_timeline": cumulative.key_timelines(facts, ABSENT_KEY),
+            "key_facts": facts.where(F.col("Country") == KEY),
+            "absent_key_facts": facts.where(F.col("Country") == ABSENT_KEY),
         }
     )
 

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.measures import per_capita_rate
-from dayfold.schema import FACT_SCHEMA, PanelSpec
-from dayfold.sources.tables import read_typed
+from dayfold.schema import PanelSpec
+from dayfold.sources.tables import denormalise, read_typed
 
 PEOPLE_PER_CUSTOMER = 10_000
 
@@ -41,38 +41,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_typed(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
-def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").selectExpr(
-        "n_nationkey AS ordinal",
-        "n_name AS Country",
-        "concat('N', lpad(string(n_nationkey), 2, '0')) AS ISO_Alpha",
-        "double(n_nationkey) * 5 - 60 AS Latitude",
-        "double(n_nationkey) * 14 - 170 AS Longitude",
-    )
-
-
 def nation_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per nation. The left join to a per-nation aggregate is dropped by
     the optimizer wherever Population is not used."""
-    customers = (
-        table(spark, sf_dir, "customer")
-        .groupBy("c_nationkey")
-        .agg(F.count(F.lit(1)).alias("customers"))
-        .withColumnRenamed("c_nationkey", "ordinal")
-    )
-    nations = _nations(spark, sf_dir)
-    return nations.join(customers, "ordinal", "left").selectExpr(
-        *nations.columns, f"coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population"
+    return spark.sql(
+        f"""
+        SELECT n_nationkey AS ordinal,
+               n_name AS Country,
+               concat('N', lpad(string(n_nationkey), 2, '0')) AS ISO_Alpha,
+               double(n_nationkey) * 5 - 60 AS Latitude,
+               double(n_nationkey) * 14 - 170 AS Longitude,
+               coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population
+        FROM {{nation}}
+        LEFT JOIN (SELECT c_nationkey, count(*) AS customers FROM {{customer}} GROUP BY c_nationkey)
+          ON c_nationkey = n_nationkey
+        """,
+        nation=table(spark, sf_dir, "nation"),
+        customer=table(spark, sf_dir, "customer"),
     )
 
 
 def site_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per supplier, placed in its nation: a dimension that grows."""
-    sites = table(spark, sf_dir, "supplier").selectExpr(
-        "s_suppkey AS site_ordinal", "s_name AS Site", "s_nationkey AS ordinal"
-    )
-    return sites.join(nation_dimension(spark, sf_dir), "ordinal").selectExpr(
-        "site_ordinal AS ordinal", "Site", "ISO_Alpha", "Latitude", "Longitude", "Population"
+    return spark.sql(
+        """
+        SELECT s_suppkey AS ordinal, s_name AS Site, ISO_Alpha, Latitude, Longitude, Population
+        FROM {supplier} JOIN {dim} ON ordinal = s_nationkey
+        """,
+        supplier=table(spark, sf_dir, "supplier"),
+        dim=nation_dimension(spark, sf_dir),
     )
 
 
@@ -98,8 +95,7 @@ def shipment_facts(
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS l_suppkey", "s_nationkey AS ordinal"
     )
-    placed = shipment_measures(spark, sf_dir).join(suppliers, "l_suppkey").join(dim, "ordinal")
+    lines = shipment_measures(spark, sf_dir).join(suppliers, "l_suppkey")
     rate = per_capita_rate(F.col("Confirmed"), F.col("Recoveries"), F.col("Population"))
-    return placed.withColumn("Active_Per_100k", rate).select(
-        *FACT_SCHEMA.names, "Population", *SHIPMENT_SPEC.tiebreak
-    )
+    facts = denormalise(lines, dim, PanelSpec(key="ordinal"))
+    return facts.withColumn("Active_Per_100k", rate).drop("ordinal")

@@ -32,24 +32,17 @@ def facts_from_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
 def dedup_dimension(dim: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """One row per key: the values declared last, at the position declared first.
 
-    ``ordinal`` must be unique, as a declared position is. Both bounds come from
-    one combinable aggregate, so a key with very many copies is reduced before
-    it is shuffled; the values are then looked up by their position.
+    One aggregate that combines map-side, so a key with very many copies sends
+    one candidate per task.
     """
     rest = [c for c in dim.columns if c not in (spec.key, spec.ordinal)]
-    bounds = dim.groupBy(spec.key).agg(
-        F.min(spec.ordinal).alias("first_position"), F.max(spec.ordinal).alias("last_position")
-    )
-    d, b = dim.alias("d"), bounds.alias("b")
-    kept = d.join(
-        b,
-        F.col(f"d.{spec.key}").eqNullSafe(F.col(f"b.{spec.key}"))
-        & (F.col(f"d.{spec.ordinal}") == F.col("b.last_position")),
-    )
-    return kept.select(
-        F.col("b.first_position").alias(spec.ordinal),
-        F.col(f"d.{spec.key}").alias(spec.key),
-        *[F.col(f"d.{c}").alias(c) for c in rest],
+    return (
+        dim.groupBy(spec.key)
+        .agg(
+            F.min(spec.ordinal).alias(spec.ordinal),
+            F.max_by(F.struct(*rest), spec.ordinal).alias("_last"),
+        )
+        .select(spec.ordinal, spec.key, *[F.col(f"_last.{c}").alias(c) for c in rest])
     )
 
 
@@ -73,6 +66,5 @@ def denormalise(facts: DataFrame, dim: DataFrame, spec: PanelSpec = DEFAULT_SPEC
     No broadcast hint: Spark broadcasts a dimension it measures as small and
     joins by shuffle beyond that, where AQE splits a hot key.
     """
-    attrs = [c for c in dim.columns if c != spec.ordinal and (c == spec.key or c not in facts.columns)]
-    return facts.join(dim.select(*attrs), spec.key)
-
+    attrs = [c for c in dim.columns if c not in facts.columns and c != spec.ordinal]
+    return facts.join(dim.select(spec.key, *attrs), spec.key)
