@@ -21,7 +21,8 @@ def recent_rows(
     may start from here. The bound comes from a pass over key and date alone and
     is applied at the scan, below any join the facts are made of. With keys that
     all report to the present this leaves about one day; a key that ended long
-    ago only makes it less selective.
+    ago only makes it less selective. ``latest``, here and below, is the result
+    of ``latest_date_by_key`` where the caller has it or a cheaper way to it.
     """
     latest = latest_date_by_key(facts, spec) if latest is None else latest
     earliest = latest.where(F.col(spec.key).isNotNull()).agg(F.min("latest_date")).scalar()
@@ -34,8 +35,8 @@ def latest_rows(
     """All rows on their key's latest date, ties included; NULL keys drop out.
 
     Rows are matched, not gathered: a hot key's tied rows stay spread over
-    tasks. ``latest`` may be a settled table of the latest dates; Spark then
-    knows its size, and broadcasts it if small instead of shuffling facts.
+    tasks. Give ``latest`` as a settled table where possible; Spark then knows
+    its size, and broadcasts it if small instead of shuffling facts.
     """
     latest = latest_date_by_key(facts, spec) if latest is None else latest
     on_latest = (F.col(f"f.{spec.key}") == F.col(f"l.{spec.key}")) & (
@@ -45,7 +46,9 @@ def latest_rows(
     return recent.alias("f").join(latest.alias("l"), on_latest, "left_semi")
 
 
-def last_row_per_key(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def last_row_per_key(
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+) -> DataFrame:
     """One row per key: the last by date, then by the tiebreak columns.
 
     Only recent rows are ranked, and Spark's window group limit leaves one
@@ -56,7 +59,7 @@ def last_row_per_key(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFr
         F.desc(spec.date), *[F.desc(c) for c in identity]
     )
     return (
-        recent_rows(facts, spec)
+        recent_rows(facts, spec, latest)
         .withColumn("_rank", F.row_number().over(newest_first))
         .where(F.col("_rank") == 1)
         .drop("_rank")

@@ -36,11 +36,11 @@ def dense_panel(
     """Every key on every day, exactly once, with ``day_index`` from 0.
 
     Each dimension row unfolds into its own days, so nothing is joined. The rows
-    are spread first, in a number AQE will not merge back: a dimension of one
-    small file would otherwise unfold in a single task.
+    are dealt out first, to a fixed number of tasks that AQE does not merge: a
+    dimension of one small file would otherwise unfold in a single task.
     """
     spread = int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dim.repartition(spread, spec.key).select(
+    return dim.repartition(spread).select(
         "*", F.posexplode(calendar_days(days, as_of)).alias("day_index", spec.date)
     )
 

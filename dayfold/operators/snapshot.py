@@ -9,7 +9,9 @@ from dayfold.operators.latest import last_row_per_key, recent_rows
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
 
-def snapshot_rows(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def snapshot_rows(
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+) -> DataFrame:
     """Tied rows summed, the rate averaged; unordered.
 
     The latest date is that of the key, while a result row is a place: a key
@@ -17,7 +19,7 @@ def snapshot_rows(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame
     to (place, day) before any date is compared, so neither a join on the facts
     nor a large group is needed.
     """
-    return snapshot_from_rollup(daily_rollup(recent_rows(facts, spec), spec), spec)
+    return snapshot_from_rollup(daily_rollup(recent_rows(facts, spec, latest), spec), spec)
 
 
 def by_size(snapshot: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
@@ -25,14 +27,18 @@ def by_size(snapshot: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     return snapshot.orderBy(F.desc("confirmed"), *spec.place)
 
 
-def region_snapshot(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
-    return by_size(snapshot_rows(facts, spec), spec)
+def region_snapshot(
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+) -> DataFrame:
+    return by_size(snapshot_rows(facts, spec, latest), spec)
 
 
-def region_snapshot_one_row(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def region_snapshot_one_row(
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+) -> DataFrame:
     """The last row of each key as it stands, sorted by key."""
     return (
-        last_row_per_key(facts, spec)
+        last_row_per_key(facts, spec, latest)
         .select(
             *spec.place,
             F.col(spec.confirmed).alias("confirmed"),

@@ -15,8 +15,13 @@ from dayfold.operators.latest import last_row_per_key
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
 
-def _summary(df: DataFrame, confirmed: Column, deaths: Column, recoveries: Column,
-             total_active: Column | None) -> DataFrame:
+def _summary(
+    df: DataFrame,
+    confirmed: Column,
+    deaths: Column,
+    recoveries: Column,
+    total_active: Column | None,
+) -> DataFrame:
     def total(c: Column) -> Column:
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
@@ -50,7 +55,9 @@ def global_summary(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFram
     )
 
 
-def global_summary_latest(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def global_summary_latest(
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+) -> DataFrame:
     """The same six totals over the **last row of each key** only.
 
     A table without recoveries counts them as 0, and an existing active column
@@ -63,7 +70,7 @@ def global_summary_latest(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> D
         if spec.active in columns
         else active(F.col(spec.confirmed), recoveries)
     )
-    last = last_row_per_key(facts, spec)
+    last = last_row_per_key(facts, spec, latest)
     return _summary(last, F.col(spec.confirmed), F.col(spec.deaths), recoveries, per_row)
 
 

@@ -1,4 +1,4 @@
-"""The queries the driver runs: each takes (spark, sf_dir), reads whole tables.
+"""The queries the driver runs; each reads the whole tables of a directory.
 
 Averages and percentages are rounded to six decimals here, not in the
 operators, because a sum of doubles depends on the order of addition.
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.formats import fixed_decimals, human_number, thousands
@@ -16,12 +16,11 @@ from dayfold.functions.measures import active, per_capita_rate
 from dayfold.operators import cumulative, latest, panel, snapshot, totals
 from dayfold.plans import reports
 from dayfold.schema import FACT_SCHEMA, PanelSpec
-from dayfold.sources import shipments
-from dayfold.sources.shipments import SHIPMENT_SPEC, SITE_SPEC, shipment_facts, shipment_measures
+from dayfold.sources.shipments import SHIPMENT_SPEC, SITE_SPEC, Shipments
 from dayfold.sources.sinks import settle
 from dayfold.sources.tables import dedup_dimension, first_n_keys, keep_keys
 
-Query = Callable[[SparkSession, str], DataFrame]
+Query = Callable[[Shipments], DataFrame]
 
 KEY = "NATION_8"
 ABSENT_KEY = "NATION_99"
@@ -35,47 +34,48 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), DIGITS) for c in columns})
 
 
-def last_ship_date(spark: SparkSession, sf_dir: str) -> Column:
-    return shipment_measures(spark, sf_dir).agg(F.max("Date")).scalar()
+def places(ship: Shipments) -> DataFrame:
+    """The ties-summed snapshot that several reports start from."""
+    return snapshot.snapshot_rows(ship.facts, latest=ship.latest)
+
+
+def last_rows_summary(ship: Shipments) -> DataFrame:
+    return totals.global_summary_latest(ship.facts, SHIPMENT_SPEC, ship.latest)
 
 
 # Sources and layout
 
 
-def fact_rows(spark, sf_dir):
-    return shipment_facts(spark, sf_dir).select(*FACT_SCHEMA.names)
+def fact_rows(ship):
+    return ship.facts.select(*FACT_SCHEMA.names)
 
 
-def dim_dedup(spark, sf_dir):
+def dim_dedup(ship):
     """Customers taken as repeated entries of their nation."""
-    entries = shipments.table(spark, sf_dir, "customer").selectExpr(
+    entries = ship.table("customer").selectExpr(
         "c_custkey AS ordinal", "c_nationkey", "c_name", "c_acctbal", "c_mktsegment"
     )
     return dedup_dimension(entries, PanelSpec(key="c_nationkey"))
 
 
-def first_n(spark, sf_dir):
-    dim = shipments.nation_dimension(spark, sf_dir)
-    kept = keep_keys(shipment_facts(spark, sf_dir), first_n_keys(dim, FIRST_KEYS))
+def first_keys(ship):
+    kept = keep_keys(ship.facts, first_n_keys(ship.nations, FIRST_KEYS))
     return kept.select("Date", "Country", "Confirmed", *SHIPMENT_SPEC.tiebreak)
 
 
-def calendar_panel(spark, sf_dir):
-    sites = shipments.site_dimension(spark, sf_dir)
-    dense = panel.dense_panel(sites, PANEL_DAYS, last_ship_date(spark, sf_dir), SITE_SPEC)
+def calendar_panel(ship):
+    dense = panel.dense_panel(ship.sites, PANEL_DAYS, ship.last_date, SITE_SPEC)
     return dense.select("Date", "day_index", *SITE_SPEC.place)
 
 
-def projected_panel(spark, sf_dir):
-    sites = shipments.site_dimension(spark, sf_dir)
-    return panel.project_panel(sites, PANEL_DAYS, last_ship_date(spark, sf_dir), SITE_SPEC)
+def projected_panel(ship):
+    return panel.project_panel(ship.sites, PANEL_DAYS, ship.last_date, SITE_SPEC)
 
 
-def per_capita(spark, sf_dir):
-    facts = shipment_facts(spark, sf_dir)
+def per_capita(ship):
     confirmed, recoveries = F.col("Confirmed"), F.col("Recoveries")
     rate = per_capita_rate(confirmed, recoveries, F.col("Population"))
-    return facts.select(
+    return ship.facts.select(
         "Date",
         "Country",
         *SHIPMENT_SPEC.tiebreak,
@@ -88,95 +88,89 @@ def per_capita(spark, sf_dir):
 # Aggregates
 
 
-def global_summary_all(spark, sf_dir):
-    return rounded(
-        totals.global_summary(shipment_measures(spark, sf_dir)), "recovery_rate", "active_rate"
-    )
+def global_summary_all(ship):
+    return rounded(totals.global_summary(ship.measures), "recovery_rate", "active_rate")
 
 
-def global_summary_latest(spark, sf_dir):
-    summary = totals.global_summary_latest(shipment_facts(spark, sf_dir), SHIPMENT_SPEC)
-    return rounded(summary, "recovery_rate", "active_rate")
+def global_summary_latest(ship):
+    return rounded(last_rows_summary(ship), "recovery_rate", "active_rate")
 
 
-def global_summary_optional_cols(spark, sf_dir):
+def global_summary_optional_cols(ship):
     """Once without recoveries, once with a ready active column."""
-    facts = shipment_facts(spark, sf_dir)
     variants = {
-        "no_recoveries": facts.drop("Recoveries"),
-        "active_given": facts.withColumn("Active", F.col("Confirmed") - F.col("Deaths")),
+        "no_recoveries": ship.facts.drop("Recoveries"),
+        "active_given": ship.facts.withColumn("Active", F.col("Confirmed") - F.col("Deaths")),
     }
     first, second = (
-        totals.global_summary_latest(df, SHIPMENT_SPEC).select(F.lit(name).alias("variant"), "*")
+        totals.global_summary_latest(df, SHIPMENT_SPEC, ship.latest).select(
+            F.lit(name).alias("variant"), "*"
+        )
         for name, df in variants.items()
     )
     return rounded(first.unionByName(second), "recovery_rate", "active_rate")
 
 
-def daily_totals(spark, sf_dir):
-    return totals.daily_totals(shipment_measures(spark, sf_dir))
+def daily_totals(ship):
+    return totals.daily_totals(ship.measures)
 
 
-def latest_date_by_key(spark, sf_dir):
-    return latest.latest_date_by_key(shipment_facts(spark, sf_dir))
+def latest_date_by_key(ship):
+    return ship.latest
 
 
-def monthly_totals(spark, sf_dir):
-    return totals.monthly_totals(shipment_facts(spark, sf_dir))
+def monthly_totals(ship):
+    return totals.monthly_totals(ship.facts)
 
 
-def key_list(spark, sf_dir):
-    return totals.key_list(shipment_facts(spark, sf_dir))
+def key_list(ship):
+    return totals.key_list(ship.latest)
 
 
 # Latest rows and snapshots
 
 
-def latest_rows(spark, sf_dir):
-    facts = shipment_facts(spark, sf_dir)
-    dates = settle(latest.latest_date_by_key(facts), "latest")
-    return latest.latest_rows(facts, latest=dates).select(
-        *FACT_SCHEMA.names, *SHIPMENT_SPEC.tiebreak
-    )
+def latest_rows(ship):
+    rows = latest.latest_rows(ship.facts, latest=settle(ship.latest, "latest"))
+    return rows.select(*FACT_SCHEMA.names, *SHIPMENT_SPEC.tiebreak)
 
 
-def region_snapshot(spark, sf_dir):
-    return rounded(snapshot.region_snapshot(shipment_facts(spark, sf_dir)), "active_per_100k")
+def region_snapshot(ship):
+    return rounded(snapshot.by_size(places(ship)), "active_per_100k")
 
 
-def region_snapshot_rollup(spark, sf_dir):
-    rollup = snapshot.daily_rollup(shipment_facts(spark, sf_dir))
+def region_snapshot_rollup(ship):
+    rollup = snapshot.daily_rollup(ship.facts)
     return rounded(snapshot.by_size(snapshot.snapshot_from_rollup(rollup)), "active_per_100k")
 
 
-def region_snapshot_one_row(spark, sf_dir):
-    return snapshot.region_snapshot_one_row(shipment_facts(spark, sf_dir), SHIPMENT_SPEC)
+def region_snapshot_one_row(ship):
+    return snapshot.region_snapshot_one_row(ship.facts, SHIPMENT_SPEC, ship.latest)
 
 
 # Running totals and changes
 
 
-def global_trend(spark, sf_dir):
-    return reports.global_trend(shipment_measures(spark, sf_dir))
+def global_trend(ship):
+    return reports.global_trend(ship.measures)
 
 
-def global_trend_two_pass(spark, sf_dir):
-    daily = settle(totals.sum_by_day(shipment_measures(spark, sf_dir)), "daily")
-    return cumulative.running_total_two_pass(daily)
+def global_trend_two_pass(ship):
+    return cumulative.running_total_two_pass(settle(totals.sum_by_day(ship.measures), "daily"))
 
 
-def key_timeline(spark, sf_dir):
-    return cumulative.key_timelines(shipment_facts(spark, sf_dir), KEY)
+def key_timeline(ship):
+    return cumulative.key_timelines(ship.facts, KEY)
 
 
-def all_key_timelines(spark, sf_dir):
-    return cumulative.key_timelines(shipment_facts(spark, sf_dir))
+def all_key_timelines(ship):
+    return cumulative.key_timelines(ship.facts)
 
 
-def timeline_labels(spark, sf_dir):
+def timeline_labels(ship):
     """Every running total as text, in both number formats."""
     running = F.col("cumulative")
-    return cumulative.key_timelines(shipment_facts(spark, sf_dir)).select(
+    return cumulative.key_timelines(ship.facts).select(
         "Country",
         "Date",
         human_number(running).alias("short"),
@@ -185,67 +179,65 @@ def timeline_labels(spark, sf_dir):
     )
 
 
-def monthly_growth(spark, sf_dir):
-    monthly = totals.sum_by_month(shipment_facts(spark, sf_dir))
-    return rounded(cumulative.monthly_growth(monthly), "growth_pct")
+def monthly_growth(ship):
+    growth = cumulative.monthly_growth(totals.sum_by_month(ship.facts))
+    return rounded(growth, "growth_pct")
 
 
-def daily_delta(spark, sf_dir):
-    return cumulative.daily_delta(totals.sum_by_day(shipment_measures(spark, sf_dir)))
+def daily_delta(ship):
+    return cumulative.daily_delta(totals.sum_by_day(ship.measures))
 
 
 # Reports
 
 
-def headline_kpis(spark, sf_dir):
-    return reports.headline_kpis(totals.global_summary(shipment_measures(spark, sf_dir)))
+def headline_kpis(ship):
+    return reports.headline_kpis(totals.global_summary(ship.measures))
 
 
-def headline_kpis_latest(spark, sf_dir):
-    facts = shipment_facts(spark, sf_dir)
-    return reports.headline_kpis(totals.global_summary_latest(facts, SHIPMENT_SPEC))
+def headline_kpis_latest(ship):
+    return reports.headline_kpis(last_rows_summary(ship))
 
 
-def map_points(spark, sf_dir):
-    points = reports.map_points(snapshot.snapshot_rows(shipment_facts(spark, sf_dir)))
-    return rounded(points, "color")
+def map_points(ship):
+    return rounded(reports.map_points(places(ship)), "color")
 
 
-def map_points_one_row(spark, sf_dir):
-    rows = snapshot.region_snapshot_one_row(shipment_facts(spark, sf_dir), SHIPMENT_SPEC)
-    return rounded(reports.map_points(rows), "color")
+def map_points_one_row(ship):
+    return rounded(reports.map_points(region_snapshot_one_row(ship)), "color")
 
 
-def key_detail(spark, sf_dir):
-    return reports.key_detail(shipment_facts(spark, sf_dir), KEY)
+def key_detail(ship):
+    return reports.key_detail(ship.facts, KEY)
 
 
-def top10_keys(spark, sf_dir):
-    top = reports.top_keys(snapshot.snapshot_rows(shipment_facts(spark, sf_dir)))
-    return rounded(top, "active_per_100k")
+def top10_keys(ship):
+    return rounded(reports.top_keys(places(ship)), "active_per_100k")
 
 
-def global_active_per_100k(spark, sf_dir):
-    places = snapshot.snapshot_rows(shipment_facts(spark, sf_dir))
-    dim = shipments.nation_dimension(spark, sf_dir)
-    return rounded(reports.global_active_per_100k(places, dim), "active_per_100k")
+def global_active_per_100k(ship):
+    rate = reports.global_active_per_100k(places(ship), ship.nations)
+    return rounded(rate, "active_per_100k")
 
 
-def emptiness(spark, sf_dir):
-    facts = shipment_facts(spark, sf_dir)
+def emptiness(ship):
     return reports.emptiness(
         {
-            "facts": facts,
-            "key_facts": facts.where(F.col("Country") == KEY),
-            "absent_key_facts": facts.where(F.col("Country") == ABSENT_KEY),
+            "facts": ship.facts,
+            "key_facts": ship.facts.where(F.col("Country") == KEY),
+            "absent_key_facts": ship.facts.where(F.col("Country") == ABSENT_KEY),
         }
     )
 
 
-QUERIES: dict[str, Query] = {
+def on_directory(query: Query) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(Shipments(spark, sf_dir))
+
+
+BY_NAME: dict[str, Query] = {
     "fact_rows": fact_rows,
     "dim_dedup": dim_dedup,
-    "first_n_keys": first_n,
+    "first_n_keys": first_keys,
     "calendar_panel": calendar_panel,
     "projected_panel": projected_panel,
     "per_capita_rate": per_capita,
@@ -276,3 +268,5 @@ QUERIES: dict[str, Query] = {
     "global_active_per_100k": global_active_per_100k,
     "emptiness": emptiness,
 }
+
+QUERIES = {name: on_directory(query) for name, query in BY_NAME.items()}

@@ -6,15 +6,18 @@ of its customers.
 
 Every line names an existing supplier and every supplier an existing nation, so
 the lookups neither add nor lose facts. Queries that need no place therefore
-start from ``shipment_measures`` and do no join at all.
+start from ``measures`` and do no join at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.measures import per_capita_rate
+from dayfold.operators.latest import latest_date_by_key
 from dayfold.schema import PanelSpec
 from dayfold.sources.tables import denormalise, read_typed
 
@@ -37,65 +40,102 @@ TABLES = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_typed(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
-
-
-def nation_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per nation. The left join to a per-nation aggregate is dropped by
-    the optimizer wherever Population is not used."""
-    return spark.sql(
-        f"""
-        SELECT n_nationkey AS ordinal,
-               n_name AS Country,
-               concat('N', lpad(string(n_nationkey), 2, '0')) AS ISO_Alpha,
-               double(n_nationkey) * 5 - 60 AS Latitude,
-               double(n_nationkey) * 14 - 170 AS Longitude,
-               coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population
-        FROM {{nation}}
-        LEFT JOIN (SELECT c_nationkey, count(*) AS customers FROM {{customer}} GROUP BY c_nationkey)
-          ON c_nationkey = n_nationkey
-        """,
-        nation=table(spark, sf_dir, "nation"),
-        customer=table(spark, sf_dir, "customer"),
-    )
-
-
-def site_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per supplier, placed in its nation: a dimension that grows."""
-    return spark.sql(
-        """
-        SELECT s_suppkey AS ordinal, s_name AS Site, ISO_Alpha, Latitude, Longitude, Population
-        FROM {supplier} JOIN {dim} ON ordinal = s_nationkey
-        """,
-        supplier=table(spark, sf_dir, "supplier"),
-        dim=nation_dimension(spark, sf_dir),
-    )
-
-
-def shipment_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Date, measures and row identity of each line; no place, no join."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
-        "date(l_shipdate) AS Date",
-        "int(l_quantity) AS Confirmed",
-        "if(l_returnflag = 'R', 1, 0) AS Deaths",
-        "if(l_linestatus = 'F', int(l_quantity), 0) AS Recoveries",
-        *SHIPMENT_SPEC.tiebreak,
-    )
-
-
-def shipment_facts(
-    spark: SparkSession, sf_dir: str, dim: DataFrame | None = None
-) -> DataFrame:
-    """The nine fact columns, the population, and the columns that identify a row.
-
-    ``dim`` may be a subset of the nations; facts elsewhere are then left out.
+class Shipments:
+    """The tables of one directory as measures, dimensions and facts.
+
+    Each is built once, so queries that combine several share their scans' plans
+    and the optimizer can reuse exchanges between them.
     """
-    dim = nation_dimension(spark, sf_dir) if dim is None else dim
-    suppliers = table(spark, sf_dir, "supplier").selectExpr(
-        "s_suppkey AS l_suppkey", "s_nationkey AS ordinal"
-    )
-    lines = shipment_measures(spark, sf_dir).join(suppliers, "l_suppkey")
-    rate = per_capita_rate(F.col("Confirmed"), F.col("Recoveries"), F.col("Population"))
-    facts = denormalise(lines, dim, PanelSpec(key="ordinal"))
-    return facts.withColumn("Active_Per_100k", rate).drop("ordinal")
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        return read_typed(self.spark, f"{self.sf_dir}/{name}.parquet", TABLES[name])
+
+    @cached_property
+    def nations(self) -> DataFrame:
+        """One row per nation. The left join to a per-nation aggregate is dropped
+        by the optimizer wherever Population is not used.
+
+        Marked for broadcast because its size is known where Spark cannot see it:
+        the nation table is fixed, at 25 rows, and the join adds none. By estimate
+        the aggregate is as large as the customers, and facts would be shuffled.
+        """
+        nations = self.spark.sql(
+            f"""
+            SELECT n_nationkey AS ordinal,
+                   n_name AS Country,
+                   concat('N', lpad(string(n_nationkey), 2, '0')) AS ISO_Alpha,
+                   double(n_nationkey) * 5 - 60 AS Latitude,
+                   double(n_nationkey) * 14 - 170 AS Longitude,
+                   coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population
+            FROM {{nation}}
+            LEFT JOIN (
+              SELECT c_nationkey, count(*) AS customers FROM {{customer}} GROUP BY c_nationkey
+            ) ON c_nationkey = n_nationkey
+            """,
+            nation=self.table("nation"),
+            customer=self.table("customer"),
+        )
+        return F.broadcast(nations)
+
+    @cached_property
+    def sites(self) -> DataFrame:
+        """One row per supplier, placed in its nation: a dimension that grows."""
+        return self.spark.sql(
+            """
+            SELECT s_suppkey AS ordinal, s_name AS Site, ISO_Alpha, Latitude, Longitude, Population
+            FROM {supplier} JOIN {nations} ON ordinal = s_nationkey
+            """,
+            supplier=self.table("supplier"),
+            nations=self.nations,
+        )
+
+    @cached_property
+    def suppliers(self) -> DataFrame:
+        """Supplier to nation. Grows with the data and carries no hint: Spark
+        broadcasts it while it is measured as small, and beyond that joins by
+        shuffle, where AQE splits a hot supplier."""
+        return self.table("supplier").selectExpr(
+            "s_suppkey AS l_suppkey", "s_nationkey AS ordinal"
+        )
+
+    @cached_property
+    def measures(self) -> DataFrame:
+        """Date, measures and row identity of each line; no place, no join."""
+        return self.table("lineitem").selectExpr(
+            "date(l_shipdate) AS Date",
+            "int(l_quantity) AS Confirmed",
+            "if(l_returnflag = 'R', 1, 0) AS Deaths",
+            "if(l_linestatus = 'F', int(l_quantity), 0) AS Recoveries",
+            *SHIPMENT_SPEC.tiebreak,
+        )
+
+    def placed(self, lines: DataFrame) -> DataFrame:
+        """Look up each line's place through its supplier."""
+        with_nation = lines.join(self.suppliers, "l_suppkey")
+        return denormalise(with_nation, self.nations, PanelSpec(key="ordinal")).drop("ordinal")
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        """The nine fact columns, the population, and the row's identity."""
+        rate = per_capita_rate(F.col("Confirmed"), F.col("Recoveries"), F.col("Population"))
+        return self.placed(self.measures).withColumn("Active_Per_100k", rate)
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        """The latest date of each nation, as ``latest_date_by_key`` of the facts.
+
+        Lines are reduced to one row per supplier before the lookup, so what is
+        joined is no larger than the supplier table, and a supplier with a third
+        of all lines is one row per task when it is shuffled.
+        """
+        last_per_supplier = self.measures.groupBy("l_suppkey").agg(F.max("Date").alias("Date"))
+        return latest_date_by_key(self.placed(last_per_supplier))
+
+    @cached_property
+    def last_date(self) -> Column:
+        """The latest date of all, as a scalar."""
+        return self.measures.agg(F.max("Date")).scalar()

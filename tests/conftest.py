@@ -9,10 +9,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 TESTDATA = "/root/testdata"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    session = (
-        SparkSession.builder.master("local[8]")
+def build(**extra):
+    builder = SparkSession.builder
+    for name, value in extra.items():
+        builder = builder.config(name.replace("__", "."), value)
+    return (
+        builder.master("local[8]")
         .appName("dayfold-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -22,6 +24,14 @@ def spark():
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build()
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.stop()
+        session = build(spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
@@ -47,8 +57,11 @@ def conf(spark):
 
 
 @pytest.fixture
-def shared_dir(spark, conf, tmp_path):
-    """A checkpoint folder, set only where the session names none."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        conf(spark__checkpoint__dir=str(tmp_path / "shared"))
+def shared_dir(spark):
+    """The checkpoint folder; the tests' own only where the session names none."""
     return spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.fixture
+def no_shared_dir(monkeypatch):
+    monkeypatch.setattr("dayfold.sources.sinks.shared_folder", lambda spark: None)
