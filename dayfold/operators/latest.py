@@ -21,12 +21,12 @@ def recent_rows(
     may start from here. The bound comes from a pass over key and date alone and
     is applied at the scan, below any join the facts are made of. With keys that
     all report to the present this leaves about one day; a key that ended long
-    ago only makes it less selective. ``latest``, here and below, is the result
-    of ``latest_date_by_key`` where the caller has it or a cheaper way to it.
+    ago only makes it less selective. ``latest``, here and below, holds one
+    ``latest_date`` for each key, where the caller has a cheaper way to it.
     """
-    latest = latest_date_by_key(facts, spec) if latest is None else latest
-    earliest = latest.where(F.col(spec.key).isNotNull()).agg(F.min("latest_date")).scalar()
-    return facts.where(F.col(spec.key).isNotNull() & (F.col(spec.date) >= earliest))
+    keyed = facts.where(F.col(spec.key).isNotNull())
+    latest = latest_date_by_key(keyed, spec) if latest is None else latest
+    return keyed.where(F.col(spec.date) >= latest.agg(F.min("latest_date")).scalar())
 
 
 def latest_rows(

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.functions.dates import calendar_days
+from dayfold.functions.dates import as_date, calendar_days
 from dayfold.functions.measures import per_capita_rate, truncate_at_zero
 from dayfold.functions.uniforms import between, uniform
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
@@ -21,6 +21,9 @@ NOISE = (0.8, 1.2)
 DEATH_RATE = (0.001, 0.03)
 RECOVERY_RATE = (0.5, 0.95)
 
+# Days a dimension row unfolds into before the panel is spread over tasks.
+STRETCH = 16
+
 # Streams keep the draws of one row independent of each other.
 BASELINE_STREAM, NOISE_STREAM, DEATH_STREAM, RECOVERY_STREAM = range(4)
 
@@ -35,13 +38,22 @@ def dense_panel(
 ) -> DataFrame:
     """Every key on every day, exactly once, with ``day_index`` from 0.
 
-    Each dimension row unfolds into its own days, so nothing is joined. The rows
-    are dealt out first, to a fixed number of tasks that AQE does not merge: a
-    dimension of one small file would otherwise unfold in a single task.
+    Each dimension row unfolds into its own days, so nothing is joined. It does
+    so in two steps, first into stretches of ``STRETCH`` days, which AQE spreads
+    over as many tasks as their size calls for. Unfolding at once would leave a
+    long calendar to the few tasks that read a small dimension.
     """
-    spread = int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dim.repartition(spread).select(
-        "*", F.posexplode(calendar_days(days, as_of)).alias("day_index", spec.date)
+    if days < 0:
+        raise ValueError("days must not be negative")
+    first, last = F.col("_first"), F.lit(days - 1)
+    starts = F.sequence(F.lit(0), last, F.lit(STRETCH)) if days else F.array().cast("array<int>")
+    stretches = dim.select("*", F.explode(starts).alias("_first")).hint("rebalance")
+    index = F.sequence(first, F.least(first + (STRETCH - 1), last))
+    start = F.date_sub(as_date(as_of), days - 1)
+    return (
+        stretches.select("*", F.explode(index).alias("day_index"))
+        .drop("_first")
+        .withColumn(spec.date, F.date_add(start, F.col("day_index")))
     )
 
 

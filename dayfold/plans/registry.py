@@ -36,11 +36,11 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def places(ship: Shipments) -> DataFrame:
     """The ties-summed snapshot that several reports start from."""
-    return snapshot.snapshot_rows(ship.facts, latest=ship.latest)
+    return snapshot.snapshot_rows(ship.facts, latest=ship.latest_by_nation)
 
 
 def last_rows_summary(ship: Shipments) -> DataFrame:
-    return totals.global_summary_latest(ship.facts, SHIPMENT_SPEC, ship.latest)
+    return totals.global_summary_latest(ship.facts, SHIPMENT_SPEC, ship.latest_by_nation)
 
 
 # Sources and layout
@@ -103,7 +103,7 @@ def global_summary_optional_cols(ship):
         "active_given": ship.facts.withColumn("Active", F.col("Confirmed") - F.col("Deaths")),
     }
     first, second = (
-        totals.global_summary_latest(df, SHIPMENT_SPEC, ship.latest).select(
+        totals.global_summary_latest(df, SHIPMENT_SPEC, ship.latest_by_nation).select(
             F.lit(name).alias("variant"), "*"
         )
         for name, df in variants.items()
@@ -145,7 +145,7 @@ def region_snapshot_rollup(ship):
 
 
 def region_snapshot_one_row(ship):
-    return snapshot.region_snapshot_one_row(ship.facts, SHIPMENT_SPEC, ship.latest)
+    return snapshot.region_snapshot_one_row(ship.facts, SHIPMENT_SPEC, ship.latest_by_nation)
 
 
 # Running totals and changes

@@ -63,34 +63,31 @@ class Shipments:
         the nation table is fixed, at 25 rows, and the join adds none. By estimate
         the aggregate is as large as the customers, and facts would be shuffled.
         """
-        nations = self.spark.sql(
-            f"""
-            SELECT n_nationkey AS ordinal,
-                   n_name AS Country,
-                   concat('N', lpad(string(n_nationkey), 2, '0')) AS ISO_Alpha,
-                   double(n_nationkey) * 5 - 60 AS Latitude,
-                   double(n_nationkey) * 14 - 170 AS Longitude,
-                   coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population
-            FROM {{nation}}
-            LEFT JOIN (
-              SELECT c_nationkey, count(*) AS customers FROM {{customer}} GROUP BY c_nationkey
-            ) ON c_nationkey = n_nationkey
-            """,
-            nation=self.table("nation"),
-            customer=self.table("customer"),
+        customers = (
+            self.table("customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
+        )
+        nations = (
+            self.table("nation")
+            .join(customers, F.expr("c_nationkey = n_nationkey"), "left")
+            .selectExpr(
+                "n_nationkey AS ordinal",
+                "n_name AS Country",
+                "concat('N', lpad(string(n_nationkey), 2, '0')) AS ISO_Alpha",
+                "double(n_nationkey) * 5 - 60 AS Latitude",
+                "double(n_nationkey) * 14 - 170 AS Longitude",
+                f"coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population",
+            )
         )
         return F.broadcast(nations)
 
     @cached_property
     def sites(self) -> DataFrame:
         """One row per supplier, placed in its nation: a dimension that grows."""
-        return self.spark.sql(
-            """
-            SELECT s_suppkey AS ordinal, s_name AS Site, ISO_Alpha, Latitude, Longitude, Population
-            FROM {supplier} JOIN {nations} ON ordinal = s_nationkey
-            """,
-            supplier=self.table("supplier"),
-            nations=self.nations,
+        suppliers = self.table("supplier").selectExpr(
+            "s_suppkey", "s_name AS Site", "s_nationkey AS ordinal"
+        )
+        return suppliers.join(self.nations, "ordinal").selectExpr(
+            "s_suppkey AS ordinal", "Site", "ISO_Alpha", "Latitude", "Longitude", "Population"
         )
 
     @cached_property
@@ -125,15 +122,21 @@ class Shipments:
         return self.placed(self.measures).withColumn("Active_Per_100k", rate)
 
     @cached_property
-    def latest(self) -> DataFrame:
-        """The latest date of each nation, as ``latest_date_by_key`` of the facts.
+    def latest_by_nation(self) -> DataFrame:
+        """The latest date of each nation, by code.
 
         Lines are reduced to one row per supplier before the lookup, so what is
         joined is no larger than the supplier table, and a supplier with a third
         of all lines is one row per task when it is shuffled.
         """
         last_per_supplier = self.measures.groupBy("l_suppkey").agg(F.max("Date").alias("Date"))
-        return latest_date_by_key(self.placed(last_per_supplier))
+        by_supplier = last_per_supplier.join(self.suppliers, "l_suppkey")
+        return latest_date_by_key(by_supplier, PanelSpec(key="ordinal"))
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        """The same by name, which is unique: ``latest_date_by_key`` of the facts."""
+        return self.latest_by_nation.join(self.nations, "ordinal").select("Country", "latest_date")
 
     @cached_property
     def last_date(self) -> Column:

@@ -103,11 +103,17 @@ def test_totals_run_in_one_pass(table):
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
-def test_dense_panel_unfolds_in_many_tasks(spark):
-    p = dense_panel(country_dimension(spark), 30, "2024-03-10")
-    assert "Generate posexplode" in plan(p) and "Join" not in plan(p)
-    tasks = p.select(F.spark_partition_id()).distinct().count()
-    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+def test_dense_panel_is_spread_by_size(spark, conf):
+    conf(
+        **{
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        }
+    )
+    p = dense_panel(country_dimension(spark), 1000, "2024-03-10")
+    assert "Join" not in plan(p) and "REBALANCE_PARTITIONS" in plan(p)
+    per_task = [n for (_, n) in rows(p.groupBy(F.spark_partition_id()).count())]
+    assert len(per_task) > 4 and sum(per_task) == 84_000 and max(per_task) < 84_000 / 3
 
 
 def test_subset_of_keys_is_a_semi_join(spark, table):
