@@ -120,7 +120,7 @@ def latest_date_by_key(ship):
 
 
 def monthly_totals(ship):
-    return totals.monthly_totals(ship.facts)
+    return totals.monthly_totals(ship.monthly_facts)
 
 
 def key_list(ship):
@@ -180,7 +180,7 @@ def timeline_labels(ship):
 
 
 def monthly_growth(ship):
-    growth = cumulative.monthly_growth(totals.sum_by_month(ship.facts))
+    growth = cumulative.monthly_growth(totals.sum_by_month(ship.monthly_facts))
     return rounded(growth, "growth_pct")
 
 

@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayfold.functions.dates import month_start
 from dayfold.functions.measures import per_capita_rate
 from dayfold.operators.latest import latest_date_by_key
 from dayfold.schema import PanelSpec
@@ -138,6 +139,19 @@ class Shipments:
         """The same by name, which is unique: ``latest_date_by_key`` of the facts."""
         return self.latest_by_nation.join(self.nations, "ordinal").select("Country", "latest_date")
 
+    @cached_property
+    def monthly_facts(self) -> DataFrame:
+        """Facts summed to (nation's supplier, month), dated on its first day.
+
+        For queries by month or coarser. Lines are summed before suppliers are
+        looked up, so the join carries months of suppliers instead of lines, and
+        a supplier with a third of all lines is a few rows per task.
+        """
+        by_supplier = self.measures.groupBy(
+            "l_suppkey", month_start(F.col("Date")).alias("Date")
+        ).agg(F.sum("Confirmed").alias("Confirmed"))
+        return self.placed(by_supplier)
+
     @cached_property
     def last_date(self) -> Column:
         """The latest date of all, as a scalar."""

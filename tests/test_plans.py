@@ -12,7 +12,7 @@ from dayfold.operators.cumulative import key_timelines
 from dayfold.operators.latest import last_row_per_key
 from dayfold.operators.panel import dense_panel
 from dayfold.operators.snapshot import region_snapshot, snapshot_rows
-from dayfold.operators.totals import global_summary, sum_by_day
+from dayfold.operators.totals import global_summary, monthly_totals, sum_by_day
 from dayfold.plans.reports import key_detail, top_keys
 from dayfold.schema import FACT_SCHEMA
 from dayfold.sources.countries import country_dimension
@@ -155,7 +155,10 @@ def test_results_do_not_depend_on_the_join_strategy(spark, conf, skewed_dir, nam
 
 
 def test_hot_supplier_is_split(spark, conf, skewed_dir):
-    expected = rows(queries()["monthly_totals"](spark, skewed_dir))
+    def by_lines():
+        return monthly_totals(Shipments(spark, skewed_dir).facts)
+
+    expected = rows(by_lines())
     conf(
         **{
             "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -164,11 +167,21 @@ def test_hot_supplier_is_split(spark, conf, skewed_dir):
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         }
     )
-    df = queries()["monthly_totals"](spark, skewed_dir)
+    df = by_lines()
     assert rows(df) == expected
     assert "SortMergeJoin(skew=true)" in plan(df)
 
 
+def test_months_are_summed_before_the_supplier_join(spark, conf, skewed_dir):
+    expected = rows(monthly_totals(Shipments(spark, skewed_dir).facts))
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    df = queries()["monthly_totals"](spark, skewed_dir)
+    text = plan(df)
+    assert rows(df) == expected
+    join, scan = text.index("SortMergeJoin"), text.index("l_quantity")
+    assert "partial_sum(Confirmed" in text[join:scan]
+
+
 def test_hot_key_is_spread_over_files(spark, conf, skewed_dir, tmp_path):
     conf(
         **{
