@@ -6,11 +6,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.llm.byte_bpe import decode, encode
 from dayfold.llm.exact_dedup import exact_dedup
+from dayfold.llm.pii import BASE_KINDS, find_pii, written
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -30,6 +31,22 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [kind.name for kind in BASE_KINDS]
+    spans = F.col("spans")
+
+    def count(name: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == name)).cast("bigint")
+
+    base = F.filter(spans, lambda s: s["kind"].isin(names))
+    return find_pii(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *[count(name).alias(f"n_{name}") for name in names],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(spans).alias("spans"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -42,5 +59,6 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
 }
