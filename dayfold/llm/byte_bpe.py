@@ -208,8 +208,6 @@ def _sent(docs: DataFrame, ranks: str):
 
 
 def _appended(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name in docs.columns:
-        raise ValueError(f"the table has a column {name} already")
     return T.StructType([*docs.schema.fields, T.StructField(name, kind)])
 
 
@@ -225,9 +223,10 @@ def encode(
 
     ``apart`` says that the pattern never matches over the border before a single
     space, as those that allow a space only first in a match; it saves time.
-    Other columns pass through; a name that is taken already is refused. A null
-    or empty text has an empty array, and repeated rows stay repeated.
+    Other columns pass through, and a column named ``out`` is replaced. A null or
+    empty text has an empty array, and repeated rows stay repeated.
     """
+    docs = docs.drop(out)
     sent, at = _sent(docs, ranks), docs.columns.index(text)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,8 +247,9 @@ def decode(
     """``encoded`` with the bytes its ids stand for in the binary column ``out``.
 
     The bytes need not be UTF-8 when the ids were cut. Null ids give no bytes, an
-    unknown id fails.
+    unknown id fails, and a column named ``out`` is replaced.
     """
+    encoded = encoded.drop(out)
     sent, at = _sent(encoded, ranks), encoded.columns.index(ids)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,42 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLE = {
+    "op2_mixing": """
+        WITH RECURSIVE sized AS (
+            SELECT source, sum(coalesce(length(text), 0) + 1) AS size
+            FROM documents GROUP BY source
+        ), rated AS (
+            SELECT source,
+                   sqrt(size) / sum(sqrt(size)) OVER () * sum(size) OVER () / size AS rate
+            FROM sized
+        ), parted AS (
+            SELECT source, rate, greatest(ceil(rate / 16), 1)::INT AS parts,
+                   rate / greatest(ceil(rate / 16), 1) AS mean
+            FROM rated
+        ), below AS (
+            SELECT source, 0 AS k, exp(-mean) AS p, exp(-mean) AS whole, mean FROM parted
+            UNION ALL
+            SELECT source, k + 1, p * mean / (k + 1), whole + p * mean / (k + 1), mean
+            FROM below WHERE k < 96
+        ), listed AS (
+            SELECT parted.source, parts, list(whole) AS terms
+            FROM parted JOIN below ON parted.source IS NOT DISTINCT FROM below.source
+            GROUP BY parted.source, parts
+        ), drawn AS (
+            SELECT doc_id, documents.source, text, part, terms,
+                   (('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || part), 1, 13))
+                       ::BIGINT + 0.5) / 4503599627370496.0 AS u
+            FROM documents
+            JOIN listed ON documents.source IS NOT DISTINCT FROM listed.source,
+            unnest(range(1, parts + 1)) AS p(part)
+        ), counted AS (
+            SELECT doc_id, source, text,
+                   sum(len(list_filter(terms, lambda t: t <= u)))::BIGINT AS n
+            FROM drawn GROUP BY doc_id, source, text
+        )
+        SELECT doc_id, source, unnest(range(1, n + 1))::INT AS copy, sha256(text) AS text_sha256
+        FROM counted
+    """,
     "op8_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from dayfold.llm.byte_bpe import decode, encode
 from dayfold.llm.exact_dedup import exact_dedup
+from dayfold.llm.mixing import mix_sources, tempered_weights
 from dayfold.llm.pii import BASE_KINDS, find_pii, written
+from dayfold.llm.quality import held_out, learned, score
+
+MIX_POWER = 0.5
+MIX_SEED = 7
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -20,6 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mix_sources(docs, tempered_weights(docs, MIX_POWER), MIX_SEED)
+    return mixed.select("doc_id", "source", "copy", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    return score(docs, learned(docs, labels)).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = encode(docs, RANKS, public_tokenizers.PATTERN, apart=True).drop("text")
@@ -58,6 +80,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
+    "op3_quality": op3_quality,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,

@@ -97,10 +97,11 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     starts = np.flatnonzero(~space & (before | edge[:-1]))
     ends = np.flatnonzero(~space & (after | edge[1:])) + 1
     offsets = np.searchsorted(starts, bounds)
-    return Words(data, _hash(data, starts, ends), starts, ends, offsets)
+    return Words(data, hash_spans(data, starts, ends), starts, ends, offsets)
 
 
-def _hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes from each start to its end; spans rise and do not overlap."""
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
