@@ -14,10 +14,13 @@ from dayfold.llm.exact_dedup import exact_dedup
 from dayfold.llm.mixing import mix_sources, tempered_weights
 from dayfold.llm.pii import BASE_KINDS, find_pii, written
 from dayfold.llm.quality import held_out, learned, score
+from dayfold.llm.sharding import shard_rows
 
 MIX_POWER = 0.5
 MIX_SEED = 7
 
+SHARDS = 8
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -42,6 +45,26 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.unhex(F.sha2(text, 256)).alias("same_text"),
+    )
+    placed = shard_rows(docs, F.col("same_text"), SHARDS, carry=("size", "text_crc32"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = encode(docs, RANKS, public_tokenizers.PATTERN, apart=True).drop("text")
@@ -82,6 +105,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
+    "op4_sharding": op4_sharding,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
