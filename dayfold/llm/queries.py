@@ -15,6 +15,7 @@ from dayfold.llm.mixing import mix_sources, tempered_weights
 from dayfold.llm.pii import BASE_KINDS, find_pii, written
 from dayfold.llm.quality import held_out, learned, score
 from dayfold.llm.sharding import shard_rows
+from dayfold.llm.substring_dedup import substring_dedup
 
 MIX_POWER = 0.5
 MIX_SEED = 7
@@ -28,6 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("factors").alias("n_factors"),
+    )
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mix_sources(docs, tempered_weights(docs, MIX_POWER), MIX_SEED)
@@ -103,6 +114,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
