@@ -9,11 +9,9 @@ parts are even however often a key occurs, and a hot key is one entry a block.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.shared import spread
@@ -21,12 +19,13 @@ from dayfold.llm.shared import spread
 MESSAGE = "block int, part int, keys binary, values binary"
 
 
-def in_blocks(docs: DataFrame, blocks: int, id: str, text: str) -> DataFrame:
-    """``block``, ``doc_id`` and ``text`` of every document; null texts are empty."""
+def in_blocks(docs: DataFrame, blocks: int, id: str, text: str, *more: Column) -> DataFrame:
+    """``block``, ``doc_id``, ``text`` and more of every document; null texts are empty."""
     return docs.select(
         spread(F.col(id), blocks).alias("block"),
         F.col(id).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
+        *more,
     )
 
 
@@ -59,6 +58,16 @@ def unpack_values(data: bytes, columns: int) -> np.ndarray:
     return values.reshape(columns, -1) if columns else values.reshape(0, 0)
 
 
+def pack_small(values: np.ndarray) -> bytes:
+    """Numbers from 0 in as many bytes each as the largest needs."""
+    width = (int(values.max(initial=0)).bit_length() + 7) // 8
+    return planes(values.astype(np.int64))[: width * len(values)]
+
+
+def unpack_small(data: bytes, size: int) -> np.ndarray:
+    return from_planes(data + bytes(8 * size - len(data)))
+
+
 def firsts(keys: np.ndarray) -> np.ndarray:
     """Where each run of equal keys begins."""
     new = np.ones(len(keys), bool)
@@ -152,8 +161,3 @@ def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return keys[at] == wanted, at
-
-
-def slices(table: pa.Table, rows: int = 1_000) -> Iterator[pa.RecordBatch]:
-    """A result in batches of so many rows, to keep what is in flight small."""
-    yield from table.to_batches(max_chunksize=rows)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dayfold.llm.byte_bpe import decode, encode
 from dayfold.llm.exact_dedup import exact_dedup
+from dayfold.llm.lm_score import score_texts
 from dayfold.llm.mixing import mix_sources, tempered_weights
 from dayfold.llm.pii import BASE_KINDS, find_pii, written
 from dayfold.llm.quality import held_out, learned, score
@@ -87,6 +88,20 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    training = F.crc32(id_text) % 7 != 2
+    return score_texts(table(spark, sf_dir, "documents"), training).select(
+        "doc_id",
+        (~F.col("training")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [kind.name for kind in BASE_KINDS]
     spans = F.col("spans")
@@ -119,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_lm_score": op6_lm_score,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
 }
