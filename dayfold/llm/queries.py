@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dayfold.llm.byte_bpe import decode, encode
 from dayfold.llm.exact_dedup import exact_dedup
+from dayfold.llm.jaccard_join import jaccard_join
 from dayfold.llm.lm_score import score_texts
 from dayfold.llm.mixing import mix_sources, tempered_weights
 from dayfold.llm.pii import BASE_KINDS, find_pii, written
@@ -128,6 +129,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
@@ -137,4 +142,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_lm_score": op6_lm_score,
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
 }

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfold.llm.shared import shared_folder
+from dayfold.llm.shared import cut
 
 ROUNDS = 8
 
@@ -31,14 +31,6 @@ PIECES = 64
 RANKED_ROWS = 5_000
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def _room(number: int, shards: int, shard: Column) -> Column:
     """The documents a shard gets: the first shards take one of the remainder each."""
     return F.lit(number // shards) + (shard < number % shards).cast("bigint")
@@ -129,7 +121,7 @@ def _propagate(units: DataFrame, shards: int, number: int, rounds: int) -> DataF
         )
         keys = ["group", "piece", "home"]
         moved = moved.withColumnRenamed("from", "shard")
-        units = _cut(
+        units = cut(
             units.join(moved, [*keys, "shard"], "left").select(
                 *keys,
                 F.coalesce("target", "shard").alias("shard"),
@@ -165,7 +157,7 @@ def shard_rows(
     rows = rows.groupBy("doc_id", "group", "carry").agg(F.count(F.lit(1)).alias("copies"))
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")
     key = ["doc_id", "group", "carry", "copy"]
-    rows = _cut(rows.select("doc_id", "group", "carry", copy))
+    rows = cut(rows.select("doc_id", "group", "carry", copy))
     number = rows.count()
     large = max(1, number // shards // PIECES)
     sizes = rows.where(F.col("group").isNotNull()).groupBy("group").agg(
@@ -186,12 +178,12 @@ def shard_rows(
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("shard", F.col("home"))
     )
-    units = _propagate(_cut(units), shards, number, rounds)
+    units = _propagate(cut(units), shards, number, rounds)
     places = units.select("group", "piece", "home", "shard")
     placed = everyone.join(places, ["group", "piece", "home"], "left").select(*key, "shard")
     # Documents without a shard are ranked too, among themselves.
     placed = _ranked(placed, "slot", ["shard"], ["doc_id", "copy"], number)
-    placed = _cut(placed.select(*key, "shard", "slot"))
+    placed = cut(placed.select(*key, "shard", "slot"))
     fits = F.col("shard").isNotNull() & (F.col("slot") < _room(number, shards, F.col("shard")))
     loads = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("load")).collect()
     load = {r["shard"]: r["load"] for r in loads}

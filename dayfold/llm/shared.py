@@ -40,6 +40,15 @@ def settled(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small table that loops or several readers go on from, by
+    a checkpoint in the shared folder, which Spark's cleaner may remove after use."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def block_count(docs: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
     """How many blocks the documents make at ``block_bytes`` of text each, and no
     fewer than the session's shuffle partitions."""
