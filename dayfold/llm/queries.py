@@ -18,6 +18,7 @@ from dayfold.llm.pii import BASE_KINDS, find_pii, written
 from dayfold.llm.quality import held_out, learned, score
 from dayfold.llm.sharding import shard_rows
 from dayfold.llm.substring_dedup import substring_dedup
+from dayfold.llm.topk import top_k
 
 MIX_POWER = 0.5
 MIX_SEED = 7
@@ -133,6 +134,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
@@ -143,4 +148,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_topk": op10_topk,
 }
