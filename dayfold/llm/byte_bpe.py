@@ -21,6 +21,7 @@ from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -30,10 +31,13 @@ from pyspark.sql import types as T
 RANK_FILE_BYTES = 64 << 20
 
 # Remembered words (twice as many for a while) and pairs in one Python worker.
-WORDS = 200_000
+WORDS = 150_000
 PAIRS = 1_000_000
 WORD_LETTERS = 48
 
+# Rows worked on at a time.
+SLICE = 1_000
+
 # A space beside other white space.
 WIDE_SPACE = re.compile(r" \s|\s ")
 
@@ -183,7 +187,11 @@ class _Spaced(dict):
     def __missing__(self, word: str) -> tuple[int, ...]:
         ids = self.older.get(word)
         if ids is None:
-            ids = tuple(self.bpe.encode_all(" " + word))
+            first, *rest = self.bpe.pattern.findall(" " + word) or [""]
+            known = self.get(first[1:]) if rest and first[:1] == " " else None
+            ids = tuple(known or self.bpe.encode_piece(first))
+            for piece in rest:
+                ids += tuple(self.bpe.encode_piece(piece))
         if len(word) <= WORD_LETTERS:
             if len(self) >= WORDS:
                 self.older = dict(self)
@@ -207,8 +215,25 @@ def _sent(docs: DataFrame, ranks: str):
     return docs.sparkSession.sparkContext.broadcast(rank_file)
 
 
-def _appended(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+def _appended(docs: DataFrame, work, **columns: T.DataType) -> DataFrame:
+    """``docs`` with new columns, which ``work`` makes for a slice of rows."""
+    docs = docs.drop(*columns)
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(*c) for c in columns.items())])
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                names = [*part.schema.names, *columns]
+                yield pa.RecordBatch.from_arrays([*part.columns, *work(part)], names=names)
+
+    return docs.mapInArrow(mapped, schema)
+
+
+def _lists(rows: list[list[int]]) -> pa.Array:
+    offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    values = np.fromiter(chain.from_iterable(rows), np.int32, int(offsets[-1]))
+    return pa.ListArray.from_arrays(offsets, pa.array(values))
 
 
 def encode(
@@ -217,28 +242,29 @@ def encode(
     pattern: str,
     text: str = "text",
     out: str = "ids",
+    decoded: str | None = None,
     apart: bool = False,
 ) -> DataFrame:
-    """``docs`` with the ids of each text in the array column ``out``.
+    """``docs`` with the ids of each text in the array column ``out``, and, where
+    ``decoded`` names a column, what they decode to there, as ``decode`` would.
 
     ``apart`` says that the pattern never matches over the border before a single
     space, as those that allow a space only first in a match; it saves time.
-    Other columns pass through, and a column named ``out`` is replaced. A null or
-    empty text has an empty array, and repeated rows stay repeated.
+
+    Other columns pass through, and a column of a new one's name is replaced. A
+    null or empty text has an empty array, and repeated rows stay repeated.
     """
-    docs = docs.drop(out)
-    sent, at = _sent(docs, ranks), docs.columns.index(text)
+    sent = _sent(docs, ranks)
+    columns = {out: T.ArrayType(T.IntegerType())}
+    columns |= {decoded: T.BinaryType()} if decoded else {}
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(part: pa.RecordBatch) -> list[pa.Array]:
         bpe = bpe_of(sent.value, pattern, apart)
-        for batch in batches:
-            ids = [bpe.encode(t) if t else [] for t in batch.column(at).to_pylist()]
-            column = pa.array(ids, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, column], names=[*batch.schema.names, out]
-            )
+        ids = [bpe.encode(t) if t else [] for t in part.column(text).to_pylist()]
+        more = [pa.array(map(bpe.decode, ids), pa.binary())] if decoded else []
+        return [_lists(ids), *more]
 
-    return docs.mapInArrow(encoded, _appended(docs, out, T.ArrayType(T.IntegerType())))
+    return _appended(docs, work, **columns)
 
 
 def decode(
@@ -249,21 +275,14 @@ def decode(
     The bytes need not be UTF-8 when the ids were cut. Null ids give no bytes, an
     unknown id fails, and a column named ``out`` is replaced.
     """
-    encoded = encoded.drop(out)
-    sent, at = _sent(encoded, ranks), encoded.columns.index(ids)
+    sent = _sent(encoded, ranks)
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokens(sent.value)
-        for batch in batches:
-            texts = [
-                b"".join(map(tokens.__getitem__, row)) if row else b""
-                for row in batch.column(at).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, out]
-            )
-
-    return encoded.mapInArrow(decoded, _appended(encoded, out, T.BinaryType()))
+    def work(part: pa.RecordBatch) -> list[pa.Array]:
+        token = _tokens(sent.value).__getitem__
+        rows = part.column(ids).to_pylist()
+        return [pa.array([b"".join(map(token, row or ())) for row in rows], pa.binary())]
+
+    return _appended(encoded, work, **{out: T.BinaryType()})
 
 
 @lru_cache(maxsize=2)

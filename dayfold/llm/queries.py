@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.llm.byte_bpe import decode, encode
+from dayfold.llm.byte_bpe import encode
 from dayfold.llm.exact_dedup import exact_dedup
 from dayfold.llm.jaccard_join import jaccard_join
 from dayfold.llm.lm_score import score_texts
@@ -81,8 +81,8 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = encode(docs, RANKS, public_tokenizers.PATTERN, apart=True).drop("text")
-    return decode(ids, RANKS).select(
+    ids = encode(docs, RANKS, public_tokenizers.PATTERN, decoded="decoded", apart=True)
+    return ids.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
