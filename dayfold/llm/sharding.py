@@ -27,6 +27,9 @@ BUCKETS = 1024
 # A group over this part of a shard is moved in pieces of that size.
 PIECES = 64
 
+# Large groups go where more than this part of a shard is free.
+ROOMY = 16
+
 # Documents ranked together in one task.
 RANKED_ROWS = 5_000
 
@@ -65,6 +68,7 @@ def _propagate(units: DataFrame, shards: int, number: int, rounds: int) -> DataF
     """Move units (group, piece, home, shard, n), by rounds, until none wants to."""
     room = _room(number, shards, F.col("shard"))
     large = max(1, number // shards // PIECES)
+    roomy = number // shards // ROOMY
     for _ in range(rounds):
         load = units.groupBy("shard").agg(F.sum("n").alias("load"))
         all_shards = units.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
@@ -72,13 +76,14 @@ def _propagate(units: DataFrame, shards: int, number: int, rounds: int) -> DataF
             "shard", (room - F.coalesce("load", F.lit(0))).alias("free")
         )
         here = units.groupBy("group", "shard").agg(F.sum("n").alias("neighbours"))
-        # Small groups change places pair by pair; one larger than a piece needs room.
+        # Small groups change places pair by pair; one larger than a piece needs room,
+        # and a shard about full has none.
         sizes = here.groupBy("group").agg(F.sum("neighbours").alias("size"))
         open_to = here.join(sizes, "group").join(F.broadcast(free), "shard")
         open_to = open_to.select(
             "group",
             F.struct("neighbours", F.xxhash64("group", "shard").alias("tie"), "shard").alias("pull"),
-            ((F.col("size") <= large) | (F.col("free") >= large)).alias("open"),
+            ((F.col("size") <= large) | (F.col("free") > roomy)).alias("open"),
         )
         pulls = open_to.groupBy("group").agg(
             F.max(F.when(F.col("open"), F.col("pull"))).alias("best"),
