@@ -38,20 +38,24 @@ def running_total_two_pass(
     """The same total with the grid spread over months.
 
     Only the monthly sums pass through one task; each month then runs its own
-    total on top of the sum of the months before. Both passes read ``grid``, so
-    settle it first when it is costly to compute.
+    total on top of the sum of the months before. Rows without a date come first,
+    as in the plain form, and are a month of their own. Both passes read ``grid``,
+    so settle it first when it is costly to compute.
     """
     by_month = grid.withColumn("_month", month_start(F.col(date)))
     months_before = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         by_month.groupBy("_month")
         .agg(F.sum(value).alias("_sum"))
-        .select("_month", F.coalesce(F.sum("_sum").over(months_before), F.lit(0)).alias("_before"))
+        .select(
+            F.col("_month").alias("_of"),
+            F.coalesce(F.sum("_sum").over(months_before), F.lit(0)).alias("_before"),
+        )
     )
     within = _running(F.col(value), Window.partitionBy("_month").orderBy(date))
     return (
         by_month.withColumn("_within", within)
-        .join(offsets, "_month")
+        .join(offsets, F.col("_month").eqNullSafe(F.col("_of")))
         .select(*grid.columns, (F.col("_before") + F.col("_within")).alias(name))
         .orderBy(date)
     )

@@ -15,18 +15,23 @@ def latest_date_by_key(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> Data
 def recent_rows(
     facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
 ) -> DataFrame:
-    """Facts no older than the earliest of the keys' latest dates.
+    """Facts on a day that is some key's latest.
 
-    No row on any key's latest date can be older, so a query about latest dates
-    may start from here. The bound comes from a pass over key and date alone and
-    is applied at the scan, below any join the facts are made of. With keys that
-    all report to the present this leaves about one day; a key that ended long
-    ago only makes it less selective. ``latest``, here and below, holds one
-    ``latest_date`` for each key, where the caller has a cheaper way to it.
+    A query about latest dates may start from here. The days come from a pass over
+    key and date alone; there are no more of them than days. The earliest bounds the
+    scan, and the set is applied below any join the facts are made of, so that a
+    key which ended long ago adds the rows of its last day and no more.
+    ``latest``, here and below, holds one ``latest_date`` for each key, where the
+    caller has a cheaper way to it.
     """
     keyed = facts.where(F.col(spec.key).isNotNull())
     latest = latest_date_by_key(keyed, spec) if latest is None else latest
-    return keyed.where(F.col(spec.date) >= latest.agg(F.min("latest_date")).scalar())
+    # Cast inside the subquery: a cast of the stored column would not reach the scan.
+    stored = spec.scan_date or spec.date
+    first = F.min("latest_date").cast(facts.schema[stored].dataType)
+    recent = keyed.where(F.col(stored) >= latest.agg(first).scalar())
+    days = latest.agg(F.collect_set("latest_date")).scalar()
+    return recent.where(F.array_contains(days, F.col(spec.date)))
 
 
 def latest_rows(
@@ -34,9 +39,9 @@ def latest_rows(
 ) -> DataFrame:
     """All rows on their key's latest date, ties included; NULL keys drop out.
 
-    Rows are matched, not gathered: a hot key's tied rows stay spread over
-    tasks. Give ``latest`` as a settled table where possible; Spark then knows
-    its size, and broadcasts it if small instead of shuffling facts.
+    Rows are matched, not gathered: a hot key's tied rows stay spread over tasks.
+    Only recent rows are shuffled for the match, and none where ``latest`` comes
+    marked for broadcast by a caller who knows its size.
     """
     latest = latest_date_by_key(facts, spec) if latest is None else latest
     on_latest = (F.col(f"f.{spec.key}") == F.col(f"l.{spec.key}")) & (
@@ -51,15 +56,15 @@ def last_row_per_key(
 ) -> DataFrame:
     """One row per key: the last by date, then by the tiebreak columns.
 
-    Only recent rows are ranked, and Spark's window group limit leaves one
-    candidate per key and task before the shuffle, for a hot key too.
+    Only rows on their key's latest date are ranked, and Spark's window group limit
+    leaves one candidate per key and task before the shuffle, for a hot key too.
     """
     identity = spec.tiebreak or tuple(c for c in facts.columns if c not in (spec.key, spec.date))
     newest_first = Window.partitionBy(spec.key).orderBy(
         F.desc(spec.date), *[F.desc(c) for c in identity]
     )
     return (
-        recent_rows(facts, spec, latest)
+        latest_rows(facts, spec, latest)
         .withColumn("_rank", F.row_number().over(newest_first))
         .where(F.col("_rank") == 1)
         .drop("_rank")

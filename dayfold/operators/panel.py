@@ -1,4 +1,4 @@
-"""Calendar, dense key-by-day panel, and measures projected over it."""
+"""Calendar and dense key-by-day panel."""
 
 from __future__ import annotations
 
@@ -8,25 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.dates import as_date, calendar_days
-from dayfold.functions.measures import per_capita_rate, truncate_at_zero
-from dayfold.functions.uniforms import between, uniform
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
-# The projection's curve and the ranges of its uniform draws.
-BASELINE_LOW, BASELINE_HIGH = 5_000, 500_000
-SEASON_WEIGHT = 0.25
-SEASON_DAYS = 30.0
-GROWTH_SPAN = 10.0
-NOISE = (0.8, 1.2)
-DEATH_RATE = (0.001, 0.03)
-RECOVERY_RATE = (0.5, 0.95)
-
 # Days a dimension row unfolds into before the panel is spread over tasks.
 STRETCH = 16
 
-# Streams keep the draws of one row independent of each other.
-BASELINE_STREAM, NOISE_STREAM, DEATH_STREAM, RECOVERY_STREAM = range(4)
-
 
 def calendar(spark: SparkSession, days: int, as_of: date | str | Column) -> DataFrame:
     """``days`` consecutive dates ending at ``as_of``."""
@@ -55,42 +41,3 @@ def dense_panel(
         .drop("_first")
         .withColumn(spec.date, F.date_add(start, F.col("day_index")))
     )
-
-
-def project_panel(
-    dim: DataFrame, days: int, as_of: date | str | Column, spec: PanelSpec = DEFAULT_SPEC
-) -> DataFrame:
-    """A fact table over the dense panel: baseline x season x growth x noise,
-    and deaths and recoveries as parts of it. Draws depend on the key's ordinal
-    and the day only, so any run on any cluster gives the same table."""
-    key, day = F.col(spec.ordinal), F.col("day_index")
-    width = F.lit(BASELINE_HIGH - BASELINE_LOW + 1)
-    baseline = F.lit(BASELINE_LOW) + truncate_at_zero(width * uniform(key, 0, BASELINE_STREAM))
-    season = F.lit(1.0) + F.lit(SEASON_WEIGHT) * (F.lit(1.0) + F.sin(day / F.lit(SEASON_DAYS)))
-    growth = F.lit(1.0) + day / F.lit(days * GROWTH_SPAN)
-    noise = between(*NOISE, uniform(key, day, NOISE_STREAM))
-    confirmed = F.col(spec.confirmed)
-    return (
-        dense_panel(dim, days, as_of, spec)
-        .withColumn(spec.confirmed, truncate_at_zero(baseline * season * growth * noise))
-        .withColumn(
-            spec.deaths,
-            truncate_at_zero(confirmed * between(*DEATH_RATE, uniform(key, day, DEATH_STREAM))),
-        )
-        .withColumn(
-            spec.recoveries,
-            truncate_at_zero(
-                confirmed * between(*RECOVERY_RATE, uniform(key, day, RECOVERY_STREAM))
-            ),
-        )
-        .select(
-            spec.date,
-            *spec.place,
-            spec.confirmed,
-            spec.deaths,
-            spec.recoveries,
-            per_capita_rate(confirmed, F.col(spec.recoveries), F.col(spec.population)).alias(
-                spec.rate
-            ),
-        )
-    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfold.operators.latest import last_row_per_key, recent_rows
+from dayfold.operators.latest import last_row_per_key, latest_rows
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
 
@@ -15,11 +15,10 @@ def snapshot_rows(
     """Tied rows summed, the rate averaged; unordered.
 
     The latest date is that of the key, while a result row is a place: a key
-    recorded at two places on that date gives two rows. Recent facts are summed
-    to (place, day) before any date is compared, so neither a join on the facts
-    nor a large group is needed.
+    recorded at two places on that date gives two rows. Only rows on their key's
+    latest date are summed, map-side first.
     """
-    return snapshot_from_rollup(daily_rollup(recent_rows(facts, spec, latest), spec), spec)
+    return _as_snapshot(daily_rollup(latest_rows(facts, spec, latest), spec), spec)
 
 
 def by_size(snapshot: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
@@ -72,17 +71,21 @@ def snapshot_from_rollup(rollup: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> D
     """
     newest_first = Window.partitionBy(spec.key).orderBy(F.desc(spec.date))
     known = F.col(spec.key).isNotNull() & F.col(spec.date).isNotNull()
-    return (
+    last = (
         rollup.where(known)
         .withColumn("_rank", F.rank().over(newest_first))
         .where(F.col("_rank") == 1)
-        .select(
-            *spec.place,
-            F.col(spec.confirmed).alias("confirmed"),
-            F.col(spec.deaths).alias("deaths"),
-            F.col(spec.recoveries).alias("recoveries"),
-            F.when(F.col("rate_rows") > 0, F.col("rate_sum") / F.col("rate_rows")).alias(
-                "active_per_100k"
-            ),
-        )
+    )
+    return _as_snapshot(last, spec)
+
+
+def _as_snapshot(rollup: DataFrame, spec: PanelSpec) -> DataFrame:
+    return rollup.select(
+        *spec.place,
+        F.col(spec.confirmed).alias("confirmed"),
+        F.col(spec.deaths).alias("deaths"),
+        F.col(spec.recoveries).alias("recoveries"),
+        F.when(F.col("rate_rows") > 0, F.col("rate_sum") / F.col("rate_rows")).alias(
+            "active_per_100k"
+        ),
     )

@@ -1,7 +1,7 @@
 """The same queries as SQL for another engine (DuckDB) on the same tables.
 
 Written from the definitions, not from the operators: facts are always the full
-inner join, latest rows come from a max-date join or a row number over all rows,
+left join, latest rows come from a max-date join or a row number over all rows,
 and running totals from one plain window.
 """
 
@@ -33,7 +33,8 @@ base AS (
          CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS Deaths,
          CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS INTEGER) ELSE 0 END AS Recoveries,
          l_orderkey, l_linenumber, l_partkey, l_suppkey
-  FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN dim ON dim.ordinal = s_nationkey
+  FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey
+  LEFT JOIN dim ON dim.ordinal = s_nationkey
 ),
 fact AS (
   SELECT *, (Confirmed - Recoveries) / greatest(CAST(1 AS DOUBLE), Population / CAST(100000 AS DOUBLE))
@@ -48,7 +49,7 @@ last_row AS (
     SELECT *, row_number() OVER (
       PARTITION BY Country
       ORDER BY Date DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn
-    FROM fact) WHERE rn = 1
+    FROM fact WHERE Country IS NOT NULL) WHERE rn = 1
 )"""
 
 SNAPSHOT = """,
@@ -135,19 +136,6 @@ SELECT Country AS name, Latitude AS lat, Longitude AS lon, confirmed AS size,
 FROM {source}"""
 
 
-def _uniform(key: str, day: str, stream: int) -> str:
-    prime = 2147483647
-    state = f"((({key}) % {prime}) * 48271 + CAST({day} AS BIGINT) * 69621 + {stream * 630360016}) % {prime}"
-    for step in (1103515245, 12345701):
-        state = f"(({state}) * (({state}) + {step}) + {step}) % {prime}"
-    return f"CAST({state} AS DOUBLE) / CAST({prime} AS DOUBLE)"
-
-
-def _draw(low: str, width: str, stream: int) -> str:
-    u = _uniform("ordinal", "day_index", stream)
-    return f"(CAST({low} AS DOUBLE) + CAST({width} AS DOUBLE) * ({u}))"
-
-
 _TREND = (
     FACT
     + DAILY
@@ -181,21 +169,11 @@ SELECT Date, Country, Confirmed, l_orderkey, l_linenumber, l_partkey, l_suppkey
 WHERE Country IN (SELECT n_name FROM nation ORDER BY n_nationkey LIMIT {FIRST_KEYS})""",
     "calendar_panel": SITES
     + " SELECT Date, day_index, Site, ISO_Alpha, Latitude, Longitude FROM panel",
-    "projected_panel": SITES
-    + f""",
-base AS (SELECT *, 5000 + CAST(trunc(495001 * ({_uniform("ordinal", "0", 0)})) AS INTEGER) AS baseline
-         FROM panel),
-cases AS (SELECT *, greatest(0, CAST(trunc(
-            baseline * (CAST(1 AS DOUBLE) + CAST(0.25 AS DOUBLE) * (CAST(1 AS DOUBLE) + sin(day_index / CAST(30 AS DOUBLE))))
-            * (CAST(1 AS DOUBLE) + day_index / CAST({PANEL_DAYS * 10} AS DOUBLE))
-            * {_draw("0.8", "0.4", 1)}) AS INTEGER)) AS Confirmed FROM base),
-parts AS (SELECT *,
-            greatest(0, CAST(trunc(Confirmed * {_draw("0.001", "0.029", 2)}) AS INTEGER)) AS Deaths,
-            greatest(0, CAST(trunc(Confirmed * {_draw("0.5", "0.45", 3)}) AS INTEGER)) AS Recoveries
-          FROM cases)
-SELECT Date, Site, ISO_Alpha, Latitude, Longitude, Confirmed, Deaths, Recoveries,
-       (Confirmed - Recoveries) / greatest(CAST(1 AS DOUBLE), Population / CAST(100000 AS DOUBLE))
-       AS Active_Per_100k FROM parts""",
+    "truncated_margins": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       greatest(0, CAST(trunc(l_extendedprice * l_discount - CAST(40 AS DOUBLE) * l_quantity) AS BIGINT))
+       AS margin
+FROM lineitem""",
     "per_capita_rate": FACT
     + """
 SELECT Date, Country, l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -210,15 +188,16 @@ SELECT 'no_recoveries' AS variant, * FROM ({_summary("last_row", "Confirmed", "0
 UNION ALL
 SELECT 'active_given' AS variant, * FROM ({_summary("last_row", "Confirmed - Deaths")})""",
     "daily_totals": FACT + DAILY + " SELECT * FROM daily ORDER BY Date",
-    "latest_date_by_key": FACT + " SELECT Country, max(Date) AS latest_date FROM fact GROUP BY 1",
+    "latest_date_by_key": FACT + " SELECT Country, max(Date) AS latest_date FROM fact WHERE Country IS NOT NULL GROUP BY 1",
     "monthly_totals": FACT + MONTHLY + " SELECT * FROM monthly ORDER BY Country, month",
-    "key_list": FACT + " SELECT DISTINCT Country FROM fact ORDER BY Country",
+    "key_list": FACT + " SELECT DISTINCT Country FROM fact WHERE Country IS NOT NULL ORDER BY Country",
     "latest_rows": FACT
     + f"""
 SELECT {_FACT_COLUMNS}, l_orderkey, l_linenumber, l_partkey, l_suppkey
 FROM fact JOIN (SELECT Country AS k, max(Date) AS d FROM fact GROUP BY 1) ON k = Country AND d = Date""",
     "region_snapshot": _SNAPSHOT,
     "region_snapshot_rollup": _SNAPSHOT,
+    "stored_snapshot": _SNAPSHOT,
     "region_snapshot_one_row": FACT
     + LAST
     + """
@@ -279,9 +258,9 @@ FROM snap ORDER BY confirmed DESC, Country LIMIT 10""",
     + """
 SELECT CAST(a AS BIGINT) AS total_active, CAST(p AS BIGINT) AS total_population,
        round(a / greatest(CAST(1 AS DOUBLE), p / CAST(100000 AS DOUBLE)), 6) AS active_per_100k
-FROM (SELECT sum(active) AS a, sum(Population) AS p
+FROM (SELECT coalesce(sum(active), 0) AS a, coalesce(sum(Population), 0) AS p
       FROM (SELECT Country, sum(confirmed - recoveries) AS active FROM snap GROUP BY 1)
-      JOIN dim USING (Country))""",
+      LEFT JOIN dim USING (Country))""",
     "emptiness": FACT
     + f"""
 SELECT 'facts' AS table_name, count(*) = 0 AS is_empty FROM fact

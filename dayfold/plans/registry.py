@@ -6,19 +6,20 @@ operators, because a sum of doubles depends on the order of addition.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.formats import fixed_decimals, human_number, thousands
-from dayfold.functions.measures import active, per_capita_rate
+from dayfold.functions.measures import active, per_capita_rate, truncate_at_zero
 from dayfold.operators import cumulative, latest, panel, snapshot, totals
 from dayfold.plans import reports
 from dayfold.schema import FACT_SCHEMA, PanelSpec
 from dayfold.sources.shipments import SHIPMENT_SPEC, SITE_SPEC, Shipments
-from dayfold.sources.sinks import settle
-from dayfold.sources.tables import dedup_dimension, first_n_keys, keep_keys
+from dayfold.sources.sinks import remove, shared_folder, write_facts
+from dayfold.sources.tables import dedup_dimension, first_n_keys, keep_keys, read_facts
 
 Query = Callable[[Shipments], DataFrame]
 
@@ -36,11 +37,11 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def places(ship: Shipments) -> DataFrame:
     """The ties-summed snapshot that several reports start from."""
-    return snapshot.snapshot_rows(ship.facts, latest=ship.latest_by_nation)
+    return snapshot.snapshot_rows(ship.facts, SHIPMENT_SPEC, ship.latest)
 
 
 def last_rows_summary(ship: Shipments) -> DataFrame:
-    return totals.global_summary_latest(ship.facts, SHIPMENT_SPEC, ship.latest_by_nation)
+    return totals.global_summary_latest(ship.facts, SHIPMENT_SPEC, ship.latest)
 
 
 # Sources and layout
@@ -59,7 +60,8 @@ def dim_dedup(ship):
 
 
 def first_keys(ship):
-    kept = keep_keys(ship.facts, first_n_keys(ship.nations, FIRST_KEYS))
+    """The nations are cut before lines are looked up."""
+    kept = ship.facts_at(keep_keys(ship.places, first_n_keys(ship.nations, FIRST_KEYS)))
     return kept.select("Date", "Country", "Confirmed", *SHIPMENT_SPEC.tiebreak)
 
 
@@ -68,8 +70,12 @@ def calendar_panel(ship):
     return dense.select("Date", "day_index", *SITE_SPEC.place)
 
 
-def projected_panel(ship):
-    return panel.project_panel(ship.sites, PANEL_DAYS, ship.last_date, SITE_SPEC)
+def truncated_margins(ship):
+    """Discount less the quantity's worth of one each, in whole units and not below 0."""
+    margin = F.col("l_extendedprice") * F.col("l_discount") - 40.0 * F.col("l_quantity")
+    return ship.table("lineitem").select(
+        *SHIPMENT_SPEC.tiebreak, truncate_at_zero(margin, "bigint").alias("margin")
+    )
 
 
 def per_capita(ship):
@@ -103,7 +109,7 @@ def global_summary_optional_cols(ship):
         "active_given": ship.facts.withColumn("Active", F.col("Confirmed") - F.col("Deaths")),
     }
     first, second = (
-        totals.global_summary_latest(df, SHIPMENT_SPEC, ship.latest_by_nation).select(
+        totals.global_summary_latest(df, SHIPMENT_SPEC, ship.latest).select(
             F.lit(name).alias("variant"), "*"
         )
         for name, df in variants.items()
@@ -131,7 +137,7 @@ def key_list(ship):
 
 
 def latest_rows(ship):
-    rows = latest.latest_rows(ship.facts, latest=settle(ship.latest, "latest"))
+    rows = latest.latest_rows(ship.facts, SHIPMENT_SPEC, ship.latest)
     return rows.select(*FACT_SCHEMA.names, *SHIPMENT_SPEC.tiebreak)
 
 
@@ -145,7 +151,22 @@ def region_snapshot_rollup(ship):
 
 
 def region_snapshot_one_row(ship):
-    return snapshot.region_snapshot_one_row(ship.facts, SHIPMENT_SPEC, ship.latest_by_nation)
+    return snapshot.region_snapshot_one_row(ship.facts, SHIPMENT_SPEC, ship.latest)
+
+
+def stored_snapshot(ship):
+    """The snapshot of a fact table in the library's own layout, written for the time of
+    the query. The few rows of the result are cut from it before it goes."""
+    spark = ship.spark
+    path = f"{shared_folder(spark)}/dayfold/facts-{uuid.uuid4().hex}"
+    try:
+        write_facts(ship.facts.select(*FACT_SCHEMA.names).where("Country IS NOT NULL"), path)
+        rows = snapshot.snapshot_rows(read_facts(spark, path))
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        return rounded(rows.checkpoint(), "active_per_100k")
+    finally:
+        remove(spark, path)
 
 
 # Running totals and changes
@@ -156,11 +177,11 @@ def global_trend(ship):
 
 
 def global_trend_two_pass(ship):
-    return cumulative.running_total_two_pass(settle(totals.sum_by_day(ship.measures), "daily"))
+    return cumulative.running_total_two_pass(totals.sum_by_day(ship.measures))
 
 
 def key_timeline(ship):
-    return cumulative.key_timelines(ship.facts, KEY)
+    return cumulative.key_timelines(ship.facts_at(ship.places_of(KEY)), KEY)
 
 
 def all_key_timelines(ship):
@@ -208,7 +229,8 @@ def map_points_one_row(ship):
 
 
 def key_detail(ship):
-    return reports.key_detail(ship.facts, KEY)
+    latest = ship.latest.where(F.col("Country") == KEY)
+    return reports.key_detail(ship.facts_at(ship.places_of(KEY)), KEY, SHIPMENT_SPEC, latest)
 
 
 def top10_keys(ship):
@@ -223,9 +245,9 @@ def global_active_per_100k(ship):
 def emptiness(ship):
     return reports.emptiness(
         {
-            "facts": ship.facts,
-            "key_facts": ship.facts.where(F.col("Country") == KEY),
-            "absent_key_facts": ship.facts.where(F.col("Country") == ABSENT_KEY),
+            "facts": ship.measures,
+            "key_facts": ship.facts_at(ship.places_of(KEY)),
+            "absent_key_facts": ship.facts_at(ship.places_of(ABSENT_KEY)),
         }
     )
 
@@ -239,7 +261,7 @@ BY_NAME: dict[str, Query] = {
     "dim_dedup": dim_dedup,
     "first_n_keys": first_keys,
     "calendar_panel": calendar_panel,
-    "projected_panel": projected_panel,
+    "truncated_margins": truncated_margins,
     "per_capita_rate": per_capita,
     "global_summary_all": global_summary_all,
     "global_summary_latest": global_summary_latest,
@@ -252,6 +274,7 @@ BY_NAME: dict[str, Query] = {
     "region_snapshot": region_snapshot,
     "region_snapshot_rollup": region_snapshot_rollup,
     "region_snapshot_one_row": region_snapshot_one_row,
+    "stored_snapshot": stored_snapshot,
     "global_trend": global_trend,
     "global_trend_two_pass": global_trend_two_pass,
     "key_timeline": key_timeline,

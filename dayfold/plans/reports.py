@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +31,7 @@ from dayfold.operators.totals import (
     sum_by_month,
 )
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
-from dayfold.sources.sinks import settle
+from dayfold.sources.sinks import settled
 
 
 def headline_kpis(summary: DataFrame) -> DataFrame:
@@ -57,11 +60,17 @@ def map_points(snapshot: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame
     )
 
 
-def key_detail(facts: DataFrame, key: str, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
+def key_detail(
+    facts: DataFrame,
+    key: str,
+    spec: PanelSpec = DEFAULT_SPEC,
+    latest: DataFrame | None = None,
+) -> DataFrame:
     """The formatted card of one key. The key is filtered on the facts, so only
-    its own rows are read where the table is laid out for it."""
-    row = lookup(snapshot_rows(facts.where(F.col(spec.key) == key), spec), key, spec)
-    return detail_card(row, spec)
+    its own rows are read where the table is laid out for it. ``latest`` may hold
+    the key's latest date where there is a cheaper way to it."""
+    own = facts.where(F.col(spec.key) == key)
+    return detail_card(lookup(snapshot_rows(own, spec, latest), key, spec), spec)
 
 
 def detail_card(row: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
@@ -89,13 +98,14 @@ def global_active_per_100k(
     """Active cases at each key's latest date, per 100,000 people of those keys.
 
     Places of one key are summed before the population is looked up, so that a
-    key's people count once.
+    key's people count once. A key the dimension does not have counts with its
+    cases and no people.
     """
     per_key = snapshot.groupBy(spec.key).agg(
         F.sum(active(F.col("confirmed"), F.col("recoveries"))).alias("active")
     )
     people = dim.select(spec.key, spec.population)
-    totals = per_key.join(people, spec.key).agg(
+    totals = per_key.join(people, spec.key, "left").agg(
         F.coalesce(F.sum("active"), F.lit(0)).cast("bigint").alias("total_active"),
         F.coalesce(F.sum(spec.population), F.lit(0)).cast("bigint").alias("total_population"),
     )
@@ -116,15 +126,28 @@ def emptiness(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+@contextmanager
 def dashboard(
-    facts: DataFrame, dim: DataFrame, spec: PanelSpec = DEFAULT_SPEC
-) -> dict[str, DataFrame]:
+    facts: DataFrame,
+    dim: DataFrame,
+    folder: str | None = None,
+    spec: PanelSpec = DEFAULT_SPEC,
+) -> Iterator[dict[str, DataFrame]]:
     """Every table of the page from a single pass over the facts.
 
-    The facts are reduced to one row per (place, day), settled in the shared
-    folder, and all tables are computed from that.
+    The facts are reduced to one row per (place, day) and settled, and all tables
+    are computed from that. The copy lies in ``folder`` or else the session's
+    checkpoint folder; without either this fails rather than read the facts once for
+    each table. It is removed when the context ends, so use the tables inside.
     """
-    rollup = settle(daily_rollup(facts, spec), "rollup")
+    with settled(daily_rollup(facts, spec), folder) as rollup:
+        yield page_tables(rollup, dim, spec)
+
+
+def page_tables(
+    rollup: DataFrame, dim: DataFrame, spec: PanelSpec = DEFAULT_SPEC
+) -> dict[str, DataFrame]:
+    """The tables of the page from a daily rollup."""
     summary = global_summary(rollup, spec)
     snapshot = snapshot_from_rollup(rollup, spec)
     daily = sum_by_day(rollup, spec)

@@ -40,6 +40,8 @@ class PanelSpec:
 
     ``tiebreak`` columns, together with key and date, identify a row. Without
     them the remaining columns of the table are used, in their order.
+    ``scan_date`` names the stored column that the date is cast from, where that is
+    another one; bounds on the date are put on it too, as only those reach a scan.
     """
 
     key: str = "Country"
@@ -53,6 +55,7 @@ class PanelSpec:
     population: str = "Population"
     ordinal: str = "ordinal"
     tiebreak: tuple[str, ...] = ()
+    scan_date: str | None = None
 
     @property
     def place(self) -> tuple[str, ...]:

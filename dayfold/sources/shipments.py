@@ -4,9 +4,9 @@ Confirmed is the shipped quantity, Deaths marks a returned line, Recoveries is
 the quantity of a finished line, and a nation's population is 10,000 for each
 of its customers.
 
-Every line names an existing supplier and every supplier an existing nation, so
-the lookups neither add nor lose facts. Queries that need no place therefore
-start from ``measures`` and do no join at all.
+A line whose supplier or nation is unknown has a NULL place: it counts wherever no
+key is needed and drops out elsewhere, as any fact without a key. Queries that
+need no place therefore start from ``measures`` and do no join at all.
 """
 
 from __future__ import annotations
@@ -24,7 +24,12 @@ from dayfold.sources.tables import denormalise, read_typed
 
 PEOPLE_PER_CUSTOMER = 10_000
 
-SHIPMENT_SPEC = PanelSpec(tiebreak=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+# Of one row of ``places``, generously.
+PLACE_BYTES = 128
+
+SHIPMENT_SPEC = PanelSpec(
+    tiebreak=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), scan_date="l_shipdate"
+)
 SITE_SPEC = PanelSpec(key="Site")
 
 TABLES = {
@@ -41,6 +46,16 @@ TABLES = {
 }
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def small(table: DataFrame) -> bool:
+    """Whether a stored table's files are within the session's broadcast limit."""
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= broadcast_bytes(table.sparkSession)
+
+
 class Shipments:
     """The tables of one directory as measures, dimensions and facts.
 
@@ -60,26 +75,22 @@ class Shipments:
         """One row per nation. The left join to a per-nation aggregate is dropped
         by the optimizer wherever Population is not used.
 
-        Marked for broadcast because its size is known where Spark cannot see it:
-        the nation table is fixed, at 25 rows, and the join adds none. By estimate
-        the aggregate is as large as the customers, and facts would be shuffled.
+        By estimate the join is as large as the customers. It has the nations' rows
+        though, so it is marked for broadcast where their table is small.
         """
         customers = (
             self.table("customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
         )
-        nations = (
-            self.table("nation")
-            .join(customers, F.expr("c_nationkey = n_nationkey"), "left")
-            .selectExpr(
-                "n_nationkey AS ordinal",
-                "n_name AS Country",
-                "concat('N', lpad(string(n_nationkey), 2, '0')) AS ISO_Alpha",
-                "double(n_nationkey) * 5 - 60 AS Latitude",
-                "double(n_nationkey) * 14 - 170 AS Longitude",
-                f"coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population",
-            )
+        stored = self.table("nation")
+        nations = stored.join(customers, F.expr("c_nationkey = n_nationkey"), "left").selectExpr(
+            "n_nationkey AS ordinal",
+            "n_name AS Country",
+            "concat('N', lpad(string(n_nationkey), 2, '0')) AS ISO_Alpha",
+            "double(n_nationkey) * 5 - 60 AS Latitude",
+            "double(n_nationkey) * 14 - 170 AS Longitude",
+            f"coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population",
         )
-        return F.broadcast(nations)
+        return F.broadcast(nations) if small(stored) else nations
 
     @cached_property
     def sites(self) -> DataFrame:
@@ -93,17 +104,36 @@ class Shipments:
 
     @cached_property
     def suppliers(self) -> DataFrame:
-        """Supplier to nation. Grows with the data and carries no hint: Spark
-        broadcasts it while it is measured as small, and beyond that joins by
-        shuffle, where AQE splits a hot supplier."""
+        """Supplier to nation."""
         return self.table("supplier").selectExpr(
             "s_suppkey AS l_suppkey", "s_nationkey AS ordinal"
         )
 
+    @cached_property
+    def places(self) -> DataFrame:
+        """Supplier to place: the nation looked up before any line is.
+
+        Grows with the data. It has the suppliers' rows, so it is marked for broadcast
+        while their table is small; beyond, lines join it by shuffle, where AQE splits
+        a hot supplier.
+        """
+        places = denormalise(self.suppliers, self.nations, PanelSpec(key="ordinal"))
+        return F.broadcast(places) if small(self.table("supplier")) else places
+
+    def places_of(self, key: str) -> DataFrame:
+        """The places of one nation. Where the suppliers are too many to broadcast its
+        own may be few; they are counted, and then marked."""
+        own = self.places.where(F.col("Country") == key)
+        if small(self.table("supplier")):
+            return own
+        own_size = own.count() * PLACE_BYTES
+        return F.broadcast(own) if own_size <= broadcast_bytes(self.spark) else own
+
     @cached_property
     def measures(self) -> DataFrame:
         """Date, measures and row identity of each line; no place, no join."""
         return self.table("lineitem").selectExpr(
+            "l_shipdate",
             "date(l_shipdate) AS Date",
             "int(l_quantity) AS Confirmed",
             "if(l_returnflag = 'R', 1, 0) AS Deaths",
@@ -113,14 +143,20 @@ class Shipments:
 
     def placed(self, lines: DataFrame) -> DataFrame:
         """Look up each line's place through its supplier."""
-        with_nation = lines.join(self.suppliers, "l_suppkey")
-        return denormalise(with_nation, self.nations, PanelSpec(key="ordinal")).drop("ordinal")
+        return lines.join(self.places, "l_suppkey", "left").drop("ordinal")
+
+    def rated(self, placed: DataFrame) -> DataFrame:
+        rate = per_capita_rate(F.col("Confirmed"), F.col("Recoveries"), F.col("Population"))
+        return placed.withColumn("Active_Per_100k", rate)
 
     @cached_property
     def facts(self) -> DataFrame:
         """The nine fact columns, the population, and the row's identity."""
-        rate = per_capita_rate(F.col("Confirmed"), F.col("Recoveries"), F.col("Population"))
-        return self.placed(self.measures).withColumn("Active_Per_100k", rate)
+        return self.rated(self.placed(self.measures))
+
+    def facts_at(self, places: DataFrame) -> DataFrame:
+        """The facts of some suppliers' places only."""
+        return self.rated(self.measures.join(places, "l_suppkey").drop("ordinal"))
 
     @cached_property
     def latest_by_nation(self) -> DataFrame:
@@ -136,8 +172,10 @@ class Shipments:
 
     @cached_property
     def latest(self) -> DataFrame:
-        """The same by name, which is unique: ``latest_date_by_key`` of the facts."""
-        return self.latest_by_nation.join(self.nations, "ordinal").select("Country", "latest_date")
+        """The same by name, which is unique: ``latest_date_by_key`` of the facts. One
+        row per nation, marked for broadcast where the nations' table is small."""
+        named = self.latest_by_nation.join(self.nations, "ordinal").select("Country", "latest_date")
+        return F.broadcast(named) if small(self.table("nation")) else named
 
     @cached_property
     def monthly_facts(self) -> DataFrame:

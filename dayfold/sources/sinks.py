@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,26 +33,38 @@ def write_facts(
     )
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The checkpoint folder all executors can reach, where the session names one."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """``folder``, or the checkpoint folder of the session or of its context."""
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("name a folder that all executors share, or set spark.checkpoint.dir")
+    return folder.rstrip("/")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a reduced table once and continue from the written copy.
+@contextmanager
+def settled(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
+    """A reduced table written once, for the time of the context.
 
     For a table that several actions or branches read. The copy is columnar,
-    carries statistics, and outlives a lost executor, which a cache does not.
-    Without a shared folder the plan is returned as it is: same rows, computed
-    by each reader. The folder's owner decides when the copy goes.
+    carries statistics, and outlives a lost executor, which a cache does not. It
+    lies in ``folder``, which all executors must reach, or in the session's
+    checkpoint folder, and is removed at the end.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not folder:
-        return df
-    path = f"{folder.rstrip('/')}/dayfold/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{shared_folder(spark, folder)}/dayfold/settled-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +11,38 @@ from pyspark.sql import types as T
 from dayfold.schema import DEFAULT_SPEC, DIMENSION_SCHEMA, FACT_SCHEMA, PanelSpec
 
 
-def read_typed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Parquet with declared types: no inference job, and drift fails the read."""
-    return spark.read.schema(schema).parquet(path)
+# Columns a fact table may come without, and one it may bring.
+OPTIONAL_FACTS = ("Recoveries", "Active_Per_100k")
+READY_ACTIVE = T.StructField("Active", T.IntegerType(), True)
+
+
+def read_typed(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    optional: Collection[str] = (),
+) -> DataFrame:
+    """Parquet with declared types.
+
+    A declared column that the file lacks would be read as NULL. A required one is
+    an error instead, and an optional one is left out of the table. A column of
+    another type fails when it is read.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    present = set(spark.read.parquet(path).columns)
+    missing = [f.name for f in fields if f.name not in present]
+    required = [name for name in missing if name not in optional]
+    if required:
+        raise ValueError(f"{path} has no column {', '.join(required)}")
+    kept = T.StructType([f for f in fields if f.name not in missing])
+    return spark.read.schema(kept).parquet(path)
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    return read_typed(spark, path, FACT_SCHEMA)
+    """The fact table; without recoveries or rate where the file has none, and with
+    a ready active column where it has one."""
+    schema = T.StructType([*FACT_SCHEMA.fields, READY_ACTIVE])
+    return read_typed(spark, path, schema, (*OPTIONAL_FACTS, READY_ACTIVE.name))
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
@@ -32,17 +57,19 @@ def facts_from_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
 def dedup_dimension(dim: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """One row per key: the values declared last, at the position declared first.
 
-    One aggregate that combines map-side, so a key with very many copies sends
-    one candidate per task.
+    Positions alone are aggregated, by hash and map-side, so a key with very many
+    copies sends one row per task; the row declared last is then looked up by its
+    position.
     """
     rest = [c for c in dim.columns if c not in (spec.key, spec.ordinal)]
-    return (
-        dim.groupBy(spec.key)
-        .agg(
-            F.min(spec.ordinal).alias(spec.ordinal),
-            F.max_by(F.struct(*rest), spec.ordinal).alias("_last"),
-        )
-        .select(spec.ordinal, spec.key, *[F.col(f"_last.{c}").alias(c) for c in rest])
+    bounds = dim.groupBy(F.col(spec.key).alias("_key")).agg(
+        F.min(spec.ordinal).alias("_first"), F.max(spec.ordinal).alias("_last")
+    )
+    declared_last = F.col(spec.key).eqNullSafe(F.col("_key")) & (
+        F.col(spec.ordinal) == F.col("_last")
+    )
+    return dim.join(bounds, declared_last).select(
+        F.col("_first").alias(spec.ordinal), spec.key, *rest
     )
 
 

@@ -60,8 +60,3 @@ def conf(spark):
 def shared_dir(spark):
     """The checkpoint folder; the tests' own only where the session names none."""
     return spark.conf.get("spark.checkpoint.dir")
-
-
-@pytest.fixture
-def no_shared_dir(monkeypatch):
-    monkeypatch.setattr("dayfold.sources.sinks.shared_folder", lambda spark: None)

@@ -17,7 +17,6 @@ from dayfold.functions.measures import (
     risk_label,
     truncate_at_zero,
 )
-from dayfold.functions.uniforms import between, uniform
 
 
 def expected_human(x):
@@ -124,28 +123,3 @@ def test_calendar_days_limits(spark):
     assert spark.range(1).select(calendar_days(0, "2024-03-01")).collect()[0][0] == []
     with pytest.raises(ValueError):
         calendar_days(-1, "2024-03-01")
-
-
-def test_uniform_is_in_range_and_spread(spark):
-    df = spark.range(2000).select(
-        *[uniform(F.col("id"), F.col("id") % 97, s).alias(f"u{s}") for s in range(4)]
-    )
-    got = df.agg(
-        *[F.min(f"u{s}") for s in range(4)], *[F.max(f"u{s}") for s in range(4)],
-        *[F.avg(f"u{s}") for s in range(4)], F.abs(F.corr("u1", "u2")), F.abs(F.corr("u2", "u3")),
-    ).collect()[0]
-    assert all(0 <= v < 0.01 for v in got[0:4])
-    assert all(0.99 < v < 1 for v in got[4:8])
-    assert all(0.45 < v < 0.55 for v in got[8:12])
-    assert all(v < 0.1 for v in got[12:])
-
-
-def test_uniform_does_not_depend_on_partitions(spark):
-    u = uniform(F.col("id"), 3, 1).alias("u")
-    first = sorted(rows(spark.range(500).repartition(3).select("id", u)))
-    assert first == sorted(rows(spark.range(500).repartition(7).select("id", u)))
-
-
-def test_between(spark):
-    df = spark.createDataFrame([(0.0,), (0.5,)], "u double")
-    assert rows(df.select(between(0.8, 1.2, F.col("u")))) == [(0.8,), (1.0,)]

@@ -1,15 +1,13 @@
-"""Dimension, calendar, dense panel and projection."""
+"""Dimension, calendar and dense panel."""
 
 from datetime import date
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from dayfold.operators.panel import calendar, dense_panel, project_panel
-from dayfold.operators.totals import daily_totals, global_summary, monthly_totals
-from dayfold.plans.reports import global_trend
-from dayfold.schema import DIMENSION_SCHEMA, FACT_SCHEMA
+from dayfold.operators.panel import calendar, dense_panel
+from dayfold.schema import DIMENSION_SCHEMA
 from dayfold.sources.countries import country_dimension, country_entries
 from dayfold.sources.tables import dedup_dimension, denormalise, first_n_keys, keep_keys
 
@@ -27,6 +25,13 @@ def test_dedup_keeps_last_value_at_first_position(spark):
     assert got == [(0, "X", "X", 4.0, 0.0, 9), (1, "Y", "Y", 2.0, 0.0, 2)]
 
 
+def test_dedup_aggregates_positions_by_hash(spark):
+    d = dim(spark, (0, "X", 1.0, 1), (3, "Y", 2.0, 2), (4, "Y", 5.0, 7))
+    got = dedup_dimension(d)
+    assert "SortAggregate" not in plan(got) and "HashAggregate" in plan(got)
+    assert sorted(rows(got.select("ordinal", "Latitude"))) == [(0, 1.0), (3, 5.0)]
+
+
 def test_countries(spark):
     assert country_entries(spark).count() == 85
     d = country_dimension(spark).orderBy("ordinal").collect()
@@ -84,47 +89,3 @@ def test_dense_panel_has_every_key_on_every_day_once(spark):
 def test_dense_panel_takes_a_column_as_end(spark):
     end = calendar(spark, 3, AS_OF).agg(F.max("Date")).scalar()
     assert dense_panel(country_dimension(spark), 2, end).agg(F.max("Date")).collect()[0][0] == AS_OF
-
-
-@pytest.fixture(scope="module")
-def projected(spark):
-    dim10 = first_n_keys(country_dimension(spark), 10)
-    return project_panel(dim10, 30, AS_OF).cache()
-
-
-def test_projection_has_the_fact_schema(projected):
-    assert projected.columns == FACT_SCHEMA.names
-    assert [f.dataType for f in projected.schema] == [f.dataType for f in FACT_SCHEMA]
-    assert projected.count() == 300
-
-
-def test_projection_stays_in_its_ranges(spark, projected):
-    bad = projected.where(
-        (F.col("Confirmed") < 5000 * 1.25 * 0.8 * 0.5)
-        | (F.col("Confirmed") > 500_000 * 1.5 * 1.1 * 1.2)
-        | (F.col("Deaths") > 0.03 * F.col("Confirmed"))
-        | (F.col("Recoveries") > 0.95 * F.col("Confirmed"))
-        | (F.col("Recoveries") < F.floor(0.5 * F.col("Confirmed")))
-    )
-    assert bad.count() == 0
-    assert projected.select("Confirmed").distinct().count() > 250
-
-
-def test_projection_is_reproducible(spark, projected, conf):
-    conf(**{"spark.sql.shuffle.partitions": "3"})
-    again = project_panel(first_n_keys(country_dimension(spark), 10), 30, AS_OF)
-    assert again.exceptAll(projected).count() == 0 and again.count() == 300
-
-
-def test_projection_rate_uses_population(spark, projected):
-    people = {r.Country: r.Population for r in country_dimension(spark).collect()}
-    for r in projected.collect():
-        expected = (r.Confirmed - r.Recoveries) / max(1, people[r.Country] / 100_000)
-        assert r.Active_Per_100k == expected
-
-
-def test_totals_agree_with_each_other(projected):
-    total = global_summary(projected).collect()[0].total_confirmed
-    assert daily_totals(projected).agg(F.sum("daily_confirmed")).collect()[0][0] == total
-    assert monthly_totals(projected).agg(F.sum("monthly_confirmed")).collect()[0][0] == total
-    assert rows(global_trend(projected))[-1][-1] == total

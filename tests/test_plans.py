@@ -4,18 +4,18 @@ import re
 
 import pytest
 from conftest import TESTDATA
-from helpers import plan, rows
+from helpers import day, plan, rows
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from dayfold.operators.cumulative import key_timelines
 from dayfold.operators.latest import last_row_per_key
 from dayfold.operators.panel import dense_panel
 from dayfold.operators.snapshot import region_snapshot, snapshot_rows
 from dayfold.operators.totals import global_summary, monthly_totals, sum_by_day
+from dayfold.plans.registry import QUERIES
 from dayfold.plans.reports import key_detail, top_keys
 from dayfold.schema import FACT_SCHEMA
-from dayfold.sources.countries import country_dimension
+from dayfold.sources.countries import country_entries
 from dayfold.sources.shipments import Shipments
 from dayfold.sources.sinks import write_facts
 from dayfold.sources.tables import first_n_keys, keep_keys, read_facts
@@ -38,9 +38,11 @@ def read_columns(text):
     ]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
+    if name == "stored_snapshot":  # a checkpoint, whose plan is what it has stored
+        text = text.replace("Scan ExistingRDD", "")
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "RDD"):
         assert forbidden not in text
 
@@ -52,14 +54,14 @@ def test_summary_reads_three_columns_without_a_shuffle_of_rows(table):
 
 
 def test_summary_of_lines_joins_nothing(spark):
-    text = plan(queries()["global_summary_all"](spark, SF))
+    text = plan(QUERIES["global_summary_all"](spark, SF))
     assert "Join" not in text and len(read_columns(text)) == 1
 
 
 def test_unused_population_is_not_computed(spark):
-    text = plan(queries()["monthly_totals"](spark, SF))
+    text = plan(QUERIES["monthly_totals"](spark, SF))
     assert "customer" not in text
-    assert "customer" in plan(queries()["region_snapshot"](spark, SF))
+    assert "customer" in plan(QUERIES["region_snapshot"](spark, SF))
 
 
 def test_key_filter_reaches_the_scan(table):
@@ -71,20 +73,103 @@ def test_key_filter_reaches_the_scan(table):
 
 
 def test_key_filter_reaches_the_dimension(spark):
-    assert "EqualTo(n_name,NATION_8)" in plan(queries()["key_timeline"](spark, SF))
+    assert "EqualTo(n_name,NATION_8)" in plan(QUERIES["key_timeline"](spark, SF))
 
 
 def test_snapshot_scans_recent_rows_only(table):
     text = plan(region_snapshot(table))
     assert "GreaterThanOrEqual(Date,ScalarSubquery" in text
     assert ["Country", "Date"] in read_columns(text)
-    assert "Join" not in text
+    assert "LeftSemi" in text
 
 
 def test_last_row_is_limited_before_the_shuffle(table):
     text = plan(last_row_per_key(table))
     assert "WindowGroupLimit" in text and text.index("Final") < text.index("Partial")
-    assert "Join" not in text
+    # Rows are ranked after they are matched with their key's latest date.
+    assert text.index("Partial") < text.index("LeftSemi")
+
+
+def ranked_rows(df):
+    """Rows that reached the window group limit of a query that was run."""
+    df.collect()
+    top = df._jdf.queryExecution().executedPlan()
+    found, todo = [], [top]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        if name.startswith(("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin")):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("dormant", [False, True])
+def test_a_dormant_key_ranks_its_own_rows_only(spark, dormant):
+    rows_of = [(day(d), f"K{k}", d * k) for d in range(100) for k in range(20)]
+    if dormant:
+        rows_of.append((day(0), "old", 1))
+    df = spark.createDataFrame(rows_of, "Date date, Country string, Confirmed int")
+    last = last_row_per_key(df)
+    assert ranked_rows(last) == [20 + dormant]
+    assert last.count() == 20 + dormant
+
+
+def test_date_bound_reaches_the_scan_of_timestamps(spark):
+    for name in ("region_snapshot", "region_snapshot_one_row", "key_detail", "latest_rows"):
+        text = plan(QUERIES[name](spark, SF))
+        assert "GreaterThanOrEqual(l_shipdate,ScalarSubquery" in text, name
+
+
+def scanned_rows(df, column):
+    """Rows that came out of each scan of a column, for a query that is run here."""
+    df.collect()
+    read, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        if "Scan parquet" in node.nodeName() and column in node.simpleString(99):
+            read.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return read
+
+
+def test_date_bound_skips_row_groups_of_clustered_facts(spark, table, tmp_path):
+    """By dates; Spark's Parquet reader does not skip by bounds on TIMESTAMP_NTZ."""
+    path = str(tmp_path / "clustered")
+    table.repartitionByRange(20, "Date").write.parquet(path)
+    read = scanned_rows(region_snapshot(read_facts(spark, path)), "Confirmed")
+    assert len(read) == 1 and read[0] < table.count() / 5
+
+
+ONE_NATION = "4KB"  # admits a nation's four suppliers, not all of the hundred
+
+
+@pytest.mark.parametrize("name", ["key_timeline", "key_detail", "emptiness"])
+def test_one_key_shuffles_no_line_for_the_join(spark, conf, name):
+    expected = sorted(map(str, rows(QUERIES[name](spark, SF))))
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": ONE_NATION})
+    df = QUERIES[name](spark, SF)
+    text = plan(df)
+    assert sorted(map(str, rows(df))) == expected
+    for join in re.findall(r"SortMergeJoin[^\n]*", text):
+        assert "l_suppkey" not in join
+    assert "EqualTo(n_name,NATION_8)" in text
+
+
+def test_lines_join_places_that_are_flat(spark, conf):
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    text = plan(QUERIES["first_n_keys"](spark, SF))
+    lines, cut = text.index("l_shipdate"), text.index("TakeOrderedAndProject")
+    assert text.count("SortMergeJoin") >= 2 and lines < cut
 
 
 def test_top_k_does_not_sort_everything(table):
@@ -110,7 +195,7 @@ def test_dense_panel_is_spread_by_size(spark, conf):
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
         }
     )
-    p = dense_panel(country_dimension(spark), 1000, "2024-03-10")
+    p = dense_panel(country_entries(spark).limit(84).repartition(8), 1000, "2024-03-10")
     assert "Join" not in plan(p) and "REBALANCE_PARTITIONS" in plan(p)
     per_task = [n for (_, n) in rows(p.groupBy(F.spark_partition_id()).count())]
     assert len(per_task) > 4 and sum(per_task) == 84_000 and max(per_task) < 84_000 / 3
@@ -146,7 +231,7 @@ SKEW_QUERIES = [
 
 @pytest.mark.parametrize("name", SKEW_QUERIES)
 def test_results_do_not_depend_on_the_join_strategy(spark, conf, skewed_dir, name):
-    query = queries()[name]
+    query = QUERIES[name]
     broadcast = sorted(map(str, rows(query(spark, skewed_dir))))
     conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
     shuffled = query(spark, skewed_dir)
@@ -175,7 +260,7 @@ def test_hot_supplier_is_split(spark, conf, skewed_dir):
 def test_months_are_summed_before_the_supplier_join(spark, conf, skewed_dir):
     expected = rows(monthly_totals(Shipments(spark, skewed_dir).facts))
     conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    df = queries()["monthly_totals"](spark, skewed_dir)
+    df = QUERIES["monthly_totals"](spark, skewed_dir)
     text = plan(df)
     assert rows(df) == expected
     join, scan = text.index("SortMergeJoin"), text.index("l_quantity")

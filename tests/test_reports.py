@@ -1,16 +1,20 @@
 """Reports, the one-pass dashboard, and delivery."""
 
+from pathlib import Path
+
 import pytest
 from conftest import TESTDATA
 from helpers import LOOSE_SCHEMA, day, fact, facts, rows
 
-from __spark_entry__ import queries
+from pyspark.sql import functions as F
+
 from dayfold.operators.snapshot import snapshot_rows
-from dayfold.operators.totals import global_summary, sum_by_day
+from dayfold.operators.totals import global_summary, global_summary_latest, sum_by_day
 from dayfold.plans import reports
+from dayfold.plans.registry import QUERIES
 from dayfold.schema import DIMENSION_SCHEMA, FACT_SCHEMA
 from dayfold.sources.shipments import Shipments
-from dayfold.sources.sinks import is_empty, one_row, settle, write_facts, write_table
+from dayfold.sources.sinks import is_empty, one_row, settled, write_facts, write_table
 from dayfold.sources.tables import facts_from_rows, read_facts
 
 SF = f"{TESTDATA}/sf0.01"
@@ -112,39 +116,100 @@ def close(left, right):
 
 def test_dashboard_equals_the_single_queries(spark, shared_dir):
     ship = Shipments(spark, SF)
-    page = reports.dashboard(ship.facts, ship.nations)
-    assert set(page) == set(PAGE)
-    for name, query in PAGE.items():
-        expected = queries()[query](spark, SF)
-        assert page[name].columns == expected.columns
-        assert close(rows(page[name]), rows(expected)), name
+    with reports.dashboard(ship.facts, ship.nations) as page:
+        assert set(page) == set(PAGE)
+        for name, query in PAGE.items():
+            expected = QUERIES[query](spark, SF)
+            assert page[name].columns == expected.columns
+            assert close(rows(page[name]), rows(expected)), name
 
 
-def test_dashboard_reads_the_settled_rollup(spark, shared_dir):
+def test_dashboard_reads_a_copy_that_goes_with_it(spark, tmp_path):
     ship = Shipments(spark, SF)
-    page = reports.dashboard(ship.facts, ship.nations)
-    files = page["monthly"].inputFiles()
-    assert files and all(shared_dir in f and "/rollup-" in f for f in files)
+    with reports.dashboard(ship.facts, ship.nations, str(tmp_path)) as page:
+        files = page["monthly"].inputFiles()
+        assert files and all(str(tmp_path) in f for f in files)
+        assert list((tmp_path / "dayfold").iterdir())
+    assert not list((tmp_path / "dayfold").iterdir())
 
 
-def test_settle_keeps_rows_and_types(spark, shared_dir):
+def test_settled_keeps_rows_and_types(spark, shared_dir):
     daily = sum_by_day(Shipments(spark, SF).measures)
-    settled = settle(daily, "daily")
-    assert settled.schema.simpleString() == daily.schema.simpleString()
-    assert sorted(rows(settled)) == sorted(rows(daily))
-    assert all(shared_dir in f for f in settled.inputFiles())
+    with settled(daily) as copy:
+        assert copy.schema.simpleString() == daily.schema.simpleString()
+        assert sorted(rows(copy)) == sorted(rows(daily))
+        assert all(shared_dir.removeprefix("file://") in f for f in copy.inputFiles())
+
+
+def test_settling_without_a_folder_is_refused(spark, conf, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(ValueError, match="folder"), settled(spark.range(3)):
+        pass
 
 
-def test_settle_without_a_folder_changes_nothing(spark, no_shared_dir):
-    df = spark.range(3)
-    assert settle(df, "x") is df
+def test_stored_facts_leave_nothing_behind(spark, shared_dir):
+    own = Path(shared_dir.removeprefix("file://")) / "dayfold"
+    expected = sorted(map(str, rows(QUERIES["region_snapshot"](spark, SF))))
+    assert sorted(map(str, rows(QUERIES["stored_snapshot"](spark, SF)))) == expected
+    assert not list(own.glob("facts-*"))
 
 
-@pytest.mark.parametrize("name", ["latest_rows", "global_trend_two_pass"])
-def test_settled_queries_need_no_folder(spark, request, name):
-    settled = sorted(map(str, rows(queries()[name](spark, SF))))
-    request.getfixturevalue("no_shared_dir")
-    assert sorted(map(str, rows(queries()[name](spark, SF)))) == settled
+# Files that differ from what is declared.
+
+
+def test_a_missing_required_column_is_refused(spark, small, tmp_path):
+    path = str(tmp_path / "facts")
+    small.drop("Confirmed").write.parquet(path)
+    with pytest.raises(ValueError, match="Confirmed"):
+        read_facts(spark, path)
+
+
+def test_a_missing_optional_column_is_left_out(spark, small, tmp_path):
+    path = str(tmp_path / "facts")
+    small.drop("Recoveries", "id").write.parquet(path)
+    read = read_facts(spark, path)
+    assert "Recoveries" not in read.columns
+    assert rows(global_summary_latest(read)) == rows(global_summary_latest(small.drop("Recoveries")))
+    assert rows(global_summary_latest(read))[0][3:] == (1_234_577, 0.0, 1.0)
+
+
+def test_a_ready_active_column_is_read(spark, small, tmp_path):
+    path = str(tmp_path / "facts")
+    small.withColumn("Active", F.lit(7)).write.parquet(path)
+    assert rows(global_summary_latest(read_facts(spark, path)))[0][3] == 14
+
+
+@pytest.fixture(scope="module")
+def orphan_dir(spark, tmp_path_factory):
+    """A fifth of the lines name a supplier that does not exist."""
+    path = tmp_path_factory.mktemp("orphans")
+    for name in ("nation", "supplier", "customer"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    lost = F.when(F.col("l_orderkey") % 5 == 0, F.lit(-1).cast("bigint"))
+    lines = lines.withColumn("l_suppkey", F.coalesce(lost, "l_suppkey"))
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def test_lines_without_a_place_count_where_no_key_is_needed(spark, orphan_dir):
+    def total(name, column):
+        return QUERIES[name](spark, orphan_dir).agg(F.sum(column)).collect()[0][0]
+
+    whole = total("daily_totals", "daily_confirmed")
+    assert total("monthly_totals", "monthly_confirmed") == whole
+    assert total("fact_rows", "Confirmed") == whole
+    assert rows(QUERIES["global_summary_all"](spark, orphan_dir))[0][0] == whole
+    for name in ("key_list", "latest_date_by_key", "region_snapshot", "latest_rows"):
+        df = QUERIES[name](spark, orphan_dir)
+        assert df.where("Country IS NULL").count() == 0 < df.count()
+
+
+def test_global_rate_counts_cases_of_keys_the_dimension_lacks(spark):
+    dim = spark.createDataFrame([(0, "A", "AAA", 1.0, 2.0, 100_000)], DIMENSION_SCHEMA)
+    df = facts(spark, fact("A", 0, 10), fact("B", 0, 30))
+    assert rows(reports.global_active_per_100k(snapshot_rows(df), dim)) == [(40, 100_000, 40.0)]
 
 
 def test_fact_table_round_trip(spark, tmp_path):
