@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Text in one block of documents; a Python task holds one block at a time.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
