@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Letters before and after a span that are searched for context words.
+# Letters before and after a span, as far as the next match of its kind, that are
+# searched for context words.
 BEFORE = 40
 AFTER = 20
 
