@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -34,11 +35,15 @@ def write_facts(
 
 
 def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
-    """``folder``, or the checkpoint folder of the session or of its context."""
+    """``folder``, or the checkpoint folder of the session or of its context. Only where
+    there is none and all runs in one process is one of our own made."""
     folder = folder or spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
     if not folder:
-        raise ValueError("name a folder that all executors share, or set spark.checkpoint.dir")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that all executors share, or set spark.checkpoint.dir")
+        folder = f"file://{tempfile.mkdtemp(prefix='dayfold-shared-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 

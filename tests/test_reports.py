@@ -141,9 +141,10 @@ def test_settled_keeps_rows_and_types(spark, shared_dir):
         assert all(shared_dir.removeprefix("file://") in f for f in copy.inputFiles())
 
 
-def test_settling_without_a_folder_is_refused(spark, conf, monkeypatch):
+def test_settling_without_a_folder_is_refused_on_a_cluster(spark, monkeypatch):
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
     monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     with pytest.raises(ValueError, match="folder"), settled(spark.range(3)):
         pass
 
