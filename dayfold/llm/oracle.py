@@ -1,6 +1,30 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLE = {
+    "op1_substring_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, pos, array_to_string(words[pos : pos + 12], ' ') AS w
+            FROM split, unnest(range(1, len(words) - 11)) AS p(pos)
+        ), firsts AS (
+            SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w
+        ), gone AS (
+            SELECT DISTINCT doc_id, pos + k AS pos
+            FROM windows JOIN firsts USING (w), unnest(range(13)) AS p(k)
+            WHERE first_id < doc_id
+        ), tokens AS (
+            SELECT doc_id, pos, words[pos] AS word
+            FROM split, unnest(range(1, len(words) + 1)) AS p(pos)
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n
+            FROM tokens ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)
+    """,
     "op2_mixing": """
         WITH RECURSIVE sized AS (
             SELECT source, sum(coalesce(length(text), 0) + 1) AS size
@@ -46,6 +70,34 @@ ORACLE = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op9_jaccard_join": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[pos : pos + 2], ' ') AS s
+            FROM split, unnest(range(1, greatest(len(words) - 1, least(len(words), 1) + 1))) AS p(pos)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            WHERE 10 * y.size >= 9 * x.size AND 10 * x.size >= 9 * y.size
+            GROUP BY a.doc_id, b.doc_id, x.size, y.size
+            HAVING 100 * count(*) >= 90 * (x.size + y.size - count(*))
+        ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM split
+            UNION
+            SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+        )
+        SELECT doc_id, coalesce(size, 0) AS n_shingles,
+               (SELECT min(b) FROM reached WHERE a = doc_id) AS component_id,
+               (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
+        FROM split LEFT JOIN sizes USING (doc_id)
+    """,
     "op10_topk": """
         WITH coded AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v

@@ -38,7 +38,6 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words",
         "n_removed",
         F.sha2("kept", 256).alias("kept_sha256"),
-        F.size("factors").alias("n_factors"),
     )
 
 
