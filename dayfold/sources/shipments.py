@@ -46,6 +46,9 @@ TABLES = {
 }
 
 
+CHECKED: set[tuple[str, str]] = set()
+
+
 def broadcast_bytes(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
@@ -66,9 +69,20 @@ class Shipments:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_typed(self.spark, f"{self.sf_dir}/{name}.parquet", TABLES[name])
+        """A table with its declared types. Reading a file's own schema is a job, so each
+        is checked once a session."""
+        if name not in self.tables:
+            path = f"{self.sf_dir}/{name}.parquet"
+            known = (self.spark.sparkContext.applicationId, path)
+            if known in CHECKED:
+                self.tables[name] = self.spark.read.schema(TABLES[name]).parquet(path)
+            else:
+                self.tables[name] = read_typed(self.spark, path, TABLES[name])
+                CHECKED.add(known)
+        return self.tables[name]
 
     @cached_property
     def nations(self) -> DataFrame:
