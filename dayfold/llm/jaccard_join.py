@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from dayfold.llm.blocks import MESSAGE, firsts, messages, pack_values, unpack, unpack_values
 from dayfold.llm.components import connected, star
 from dayfold.llm.shared import block_count, cut, settled
-from dayfold.llm.words import GOLDEN, grams, inside, mix, words_of
+from dayfold.llm.words import GOLDEN, grams, inside, mix, slices, words_of
 
 SHINGLE = 3
 PERCENT = 90
@@ -34,7 +35,7 @@ PERCENT = 90
 PARTS_OF = 3  # second-level parts; a signature leaves one out
 
 # Sets compared in one task. A larger candidate group is compared in pairs of blocks.
-BLOCK_SETS = 4_096
+BLOCK_SETS = 1_024
 
 # Postings gone through at a time in a task.
 STRIDE = 4 << 20
@@ -50,12 +51,11 @@ class Sets:
         text = found.text
         n = len(found.counts)
         own = inside(text, words)
-        hashes, texts_of = grams(found.hashes, words)[own], text[: len(own)][own]
-        # A text with fewer words is one shingle of them all.
-        for i in np.flatnonzero((found.counts > 0) & (found.counts < words)):
-            few = found.hashes[found.offsets[i] : found.offsets[i + 1]]
-            hashes = np.append(hashes, grams(few, len(few)))
-            texts_of = np.append(texts_of, i)
+        parts = [(grams(found.hashes, words)[own], text[: len(own)][own])]
+        for few in range(1, words):  # a text with fewer words is one shingle of them all
+            short = np.flatnonzero(found.counts == few)
+            parts.append((grams(found.hashes, few)[found.offsets[short]], short))
+        hashes, texts_of = (np.concatenate(column) for column in zip(*parts))
         order = np.lexsort((hashes, texts_of))
         hashes, texts_of = hashes[order], texts_of[order]
         new = np.ones(len(hashes), bool)
@@ -125,7 +125,7 @@ def set_table(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
     """Each document's id, the size of its set, and the set's digest."""
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, "text") for b in batches):
             sets = Sets(batch.column("text"), words)
             high, low = sets.digests()
             columns = [batch.column("doc_id"), *map(pa.array, (sets.sizes, high, low))]
@@ -151,7 +151,7 @@ def candidate_links(
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, "text") for b in batches):
             table = pa.table(batch).filter(batch.column("doc_id").is_valid()).sort_by("doc_id")
             ids = table["doc_id"].to_numpy()
             sets = Sets(table["text"], words)
@@ -197,13 +197,30 @@ def candidate_links(
             a.append(ids[other])
             b.append(least[other])
         a, b = star(np.concatenate(a), np.concatenate(b))
+        # To the document's share of all documents, where parts' links are joined.
+        block = (mix(a.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        a, b, block = a[order], b[order], block[order]
+        begins = firsts(block)
+        rows = [
+            {"block": int(block[i]), "part": table["part"][0].as_py(), "keys": b"",
+             "values": pack_values(a[i:j], b[i:j])}
+            for i, j in zip(begins, np.append(begins[1:], len(block)))
+        ]
+        return pa.Table.from_pylist(rows, table.schema)
+
+    def merge(table: pa.Table) -> pa.Table:
+        pairs = [unpack_values(v.as_py(), 2) for v in table["values"]]
+        a, b = star(*np.concatenate(pairs, axis=1))
         return pa.table({"a": a, "b": b})
 
     return (
         _texts(docs, id, text)
         .mapInArrow(ask, MESSAGE)
         .groupBy("part")
-        .applyInArrow(answer, "a bigint, b bigint")
+        .applyInArrow(answer, MESSAGE)
+        .groupBy("block")
+        .applyInArrow(merge, "a bigint, b bigint")
     )
 
 
@@ -242,7 +259,8 @@ def _compared(words: int, percent: int):
             common = np.zeros(len(rows), np.int64)
             mine = element[bounds[i] : bounds[i + 1]]
             long = ends[mine] - begins[mine]
-            for chunk in np.split(np.arange(len(mine)), np.flatnonzero(np.diff(np.cumsum(long) // STRIDE)) + 1):
+            cuts = np.flatnonzero(np.diff(np.cumsum(long) // STRIDE)) + 1
+            for chunk in np.split(np.arange(len(mine)), cuts):
                 size, start = long[chunk], begins[mine[chunk]]
                 at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 common += np.bincount(posted[at], minlength=len(rows))

@@ -6,11 +6,13 @@ words have equal hashes; different words collide about once in 2^60 pairs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Odd multipliers of the hashes (2^64 / golden ratio, and the two
 # of the splitmix64 finaliser).
@@ -19,6 +21,9 @@ MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX2 = np.uint64(0x94D049BB133111EB)
 BASE = 0x5851F42D4C957F2D
 
+# Text worked on at a time.
+BATCH_BYTES = 6 << 20
+
 # Bytes hashed in one go; a longer word is carried over whole.
 SEGMENT = 1 << 20
 
@@ -81,6 +86,18 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def slices(batch: pa.RecordBatch, text: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most so many bytes of text each, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < len(batch):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def words_of(texts: pa.Array, lower: bool = False) -> Words:
     """The words of each text; with ``lower``, A-Z count as a-z."""
     data, bounds = text_bytes(texts)
