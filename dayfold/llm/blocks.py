@@ -127,6 +127,21 @@ class Entries:
         out[self.order] = np.repeat(self.sizes, self.sizes)
         return out
 
+    def values_back(self, values: np.ndarray) -> pa.Table:
+        """A value for every entry, in the order it was sent in, without the keys."""
+        rows = [
+            (block, np.int64(b - a).tobytes(), pack_small(values[a:b]))
+            for block, a, b in zip(self.blocks.tolist(), self.bounds, self.bounds[1:])
+        ]
+        return pa.table(
+            {
+                "block": pa.array([r[0] for r in rows], pa.int32()),
+                "part": pa.array([self.part] * len(rows), pa.int32()),
+                "keys": pa.array([r[1] for r in rows], pa.binary()),
+                "values": pa.array([r[2] for r in rows], pa.binary()),
+            }
+        )
+
     def replies(self, wanted: np.ndarray, *values: np.ndarray) -> pa.Table:
         """The wanted entries' keys and values, in a row for each block."""
         rows = []
@@ -155,6 +170,14 @@ def received(table: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(values, axis=1) if columns else None
 
 
+def received_values(table: pa.Table) -> np.ndarray:
+    """The values that came back for all of a block's keys, rising."""
+    values = [np.zeros(0, np.int64)]
+    for row in table.sort_by("part").to_pylist():
+        values.append(unpack_small(row["values"], int(np.frombuffer(row["keys"], np.int64)[0])))
+    return np.concatenate(values)
+
+
 def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether each wanted key is among the rising ``keys``, and where."""
     if not len(keys):

@@ -26,11 +26,11 @@ from dayfold.llm.blocks import (
     MESSAGE,
     Entries,
     firsts,
-    found,
     in_blocks,
     messages,
     pack_small,
     received,
+    received_values,
     unpack_small,
 )
 from dayfold.llm.shared import block_count, settled
@@ -100,7 +100,7 @@ def _answer(table: pa.Table) -> pa.Table:
     entries = Entries(table, 1)
     own = entries.values[0]
     totals = entries.by_key(np.add, own)
-    replies = entries.replies(totals != own, totals)
+    replies = entries.values_back(totals - own)  # mostly 0
     first = entries.order[entries.begins]
     distinct = np.count_nonzero((entries.keys[first] & BIGRAM == WORD) & (totals[first] > 0))
     total = messages(TOTALS, 1, np.ones(1, np.uint64), np.array([distinct]))
@@ -110,17 +110,14 @@ def _answer(table: pa.Table) -> pa.Table:
 
 def _write(docs: pa.Table, replies: pa.Table) -> pa.Table:
     """The counts of each document's tokens, or one row with the distinct words."""
-    keys, values = received(replies, 1)
     if not docs.num_rows:
+        _, values = received(replies, 1)
         names = [c.split()[0] for c in COUNTS.split(", ")][:-1]
         empty = {c: pa.nulls(1, t) for c, t in zip(names, TYPES)}
         return pa.table(empty | {"distinct": pa.array([int(values.sum())], pa.int64())})
     tokens = Tokens(docs)
-    own, counts, number = tokens.own()
-    told, at = found(keys, own)
-    if told.any():
-        counts[told] = values[0][at[told]]
-    counts = counts[number]
+    _, counts, number = tokens.own()
+    counts = (counts + received_values(replies))[number]
     size = len(tokens.words)
     spans = list(zip(tokens.offsets.tolist(), tokens.offsets[1:].tolist()))
     return pa.table(
