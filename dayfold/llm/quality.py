@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.llm.words import GOLDEN, Words, grams, hash_spans, inside, mix, words_of
+from dayfold.llm.words import GOLDEN, Words, grams, hash_spans, inside, mix, slices, words_of
 
 # Shapes of bytes: lower-case letters, with all of other alphabets, upper-case
 # letters, and digits; a sign is its own shape.
@@ -184,12 +185,12 @@ def score(
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop(out)
-    at = docs.columns.index(text)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value
-        for batch in batches:
-            column = probability(_margin(weights, bias, words_of(batch.column(at)), settings))
+        for batch in chain.from_iterable(slices(b, text) for b in batches):
+            words = words_of(batch.column(text))
+            column = probability(_margin(weights, bias, words, settings))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(column)], names=[*batch.schema.names, out]
             )
