@@ -17,7 +17,7 @@ from dayfold.llm.exact_dedup import exact_dedup
 from dayfold.llm.jaccard_join import jaccard_join
 from dayfold.llm.mixing import mix_sources, tempered_weights
 from dayfold.llm.quality import held_out, learned, score
-from dayfold.llm.shared import settled
+from dayfold.llm.shared import counted, cut, settled
 
 # Near duplicates: shingles of five words, four fifths of them shared.
 SHINGLE = 5
@@ -42,20 +42,33 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id; of repeated rows one."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), "digest")
+    key = ["_null", "_id", "_digest"]
+    keys = {
+        "_null": F.col("doc_id").isNull(),
+        "_id": F.coalesce("doc_id", F.lit(0).cast("bigint")),
+    }
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("digest"))
-    rows = docs.withColumn("_digest", digest).join(kept, same, "left_semi")
-    one = Window.partitionBy("doc_id", "_digest").orderBy("lang", "source", "n_chars")
-    rows = rows.withColumn("_row", F.row_number().over(one)).where(F.col("_row") == 1)
-    return rows.select(*docs.columns)
+    verdicts = exact_dedup(docs).withColumns(keys | {"_digest": F.col("digest")})
+    verdicts = cut(
+        verdicts.groupBy(*key).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    )
+    gone = counted(verdicts.where("NOT kept").select(*key))
+    left = docs.withColumns(keys | {"_digest": digest}).join(gone, key, "left_anti")
+    again = verdicts.where("kept AND rows > 1").select(*key)
+    if not again.isEmpty():
+        again = counted(again)
+        order = Window.partitionBy(*key).orderBy("lang", "source", "n_chars")
+        one = left.join(again, key, "left_semi").withColumn("_row", F.row_number().over(order))
+        one = one.where(F.col("_row") == 1).drop("_row")
+        left = left.join(again, key, "left_anti").select(*one.columns).unionByName(one)
+    return left.select(*docs.columns)
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents the one with the smallest id; those without an id stay."""
     groups = jaccard_join(docs, words=SHINGLE, percent=PERCENT)
     repeats = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(repeats, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(counted(repeats), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

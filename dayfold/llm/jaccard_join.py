@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from dayfold.llm.blocks import MESSAGE, firsts, messages, pack_values, unpack, unpack_values
 from dayfold.llm.components import connected, star
-from dayfold.llm.shared import block_count, cut, settled
+from dayfold.llm.shared import block_count, counted, cut, settled
 from dayfold.llm.words import GOLDEN, grams, inside, mix, slices, words_of
 
 SHINGLE = 3
@@ -37,6 +37,9 @@ PARTS_OF = 3  # second-level parts; a signature leaves one out
 # Sets compared in one task. A larger candidate group is compared in pairs of blocks.
 BLOCK_SETS = 1_024
 
+# Deals of the domain at most, the first for all sets, others for large groups' only.
+DEALS = 8
+
 # Postings gone through at a time in a task.
 STRIDE = 4 << 20
 
@@ -84,10 +87,13 @@ def bands(percent: int, most: int) -> np.ndarray:
     return np.array(last[1:])
 
 
-def signatures(sets: Sets, among: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def signatures(
+    sets: Sets, among: np.ndarray, percent: int, salt: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
     """The signatures of the chosen texts' sets, and the text of each.
 
-    A set has those of its band and of the next, where similar larger sets are.
+    A set has those of its band and of the next, where similar larger sets are. Each
+    ``salt`` deals the domain anew.
     """
     lasts = bands(percent, max(1, int(sets.sizes.max(initial=1))))
     chosen = np.zeros(len(sets.sizes), bool)
@@ -102,7 +108,8 @@ def signatures(sets: Sets, among: np.ndarray, percent: int) -> tuple[np.ndarray,
         # Where sets may not differ at all they are equal, which digests tell.
         partitions = np.where(chosen & (differ > 0), (differ + 2) // 2, 0)
         begins = np.concatenate([[0], np.cumsum(partitions)])
-        split = mix(hashes ^ mix(tag[text].astype(np.uint64) + GOLDEN))
+        deal = tag[text].astype(np.uint64) + (np.uint64(salt) << np.uint64(32)) + GOLDEN
+        split = mix(hashes ^ mix(deal))
         held = partitions[text] > 0
         here, where = split[held], text[held]
         first = (here >> np.uint64(32)) % partitions[where].astype(np.uint64)
@@ -113,10 +120,10 @@ def signatures(sets: Sets, among: np.ndarray, percent: int) -> tuple[np.ndarray,
         sums = sums.reshape(-1, PARTS_OF)
         owner = np.repeat(np.arange(len(partitions)), partitions)
         number = np.arange(int(begins[-1])) - begins[owner]
-        salt = (tag[owner].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64)
+        place = (tag[owner].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64)
         rest = sums.sum(axis=1, dtype=np.uint64)[:, None] - sums
         left_out = np.arange(1, PARTS_OF + 1, dtype=np.uint64)
-        out.append(mix(rest + mix(salt[:, None] * np.uint64(8) + left_out)).ravel())
+        out.append(mix(rest + mix(place[:, None] * np.uint64(8) + left_out)).ravel())
         texts.append(np.repeat(owner, PARTS_OF))
     return np.concatenate(out), np.concatenate(texts)
 
@@ -141,7 +148,7 @@ def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def candidate_links(
-    docs: DataFrame, parts: int, id: str, text: str, words: int, percent: int
+    docs: DataFrame, parts: int, id: str, text: str, words: int, percent: int, salt: int = 0
 ) -> DataFrame:
     """Links (a, b) that connect all documents which share a signature.
 
@@ -161,7 +168,7 @@ def candidate_links(
             new = np.ones(len(order), bool)
             new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
             among = order[new]
-            keys, owner = signatures(sets, among[sets.sizes[among] > 0], percent)
+            keys, owner = signatures(sets, among[sets.sizes[among] > 0], percent, salt)
             owner = ids[owner]
             order = np.lexsort((owner, keys))
             keys, owner = keys[order], owner[order]
@@ -286,6 +293,35 @@ def _compared(words: int, percent: int):
     return compare
 
 
+def _with_roots(links: DataFrame) -> DataFrame:
+    """Every node with its root, roots included."""
+    return cut(links.unionAll(links.select(F.col("root").alias("node"), "root").distinct()))
+
+
+def _dealt_anew(docs, groups, large, parts, id, text, words, percent, salt) -> DataFrame:
+    """The groups, with large ones split where another deal's signatures do not connect.
+
+    Signatures of few elements can chain sets that are not alike into one group. Sets
+    that are alike share a signature in every deal, so they stay together when a group
+    is cut down to what is connected in both; a set on its own is alike to none.
+    """
+    members = groups.join(large, "root")
+    own = _texts(docs, id, text).join(
+        counted(members.select(F.col("node").alias("doc_id"))), "doc_id"
+    )
+    again = _with_roots(
+        connected(candidate_links(own, parts, "doc_id", "text", words, percent, salt))
+    )
+    both = members.join(again.withColumnRenamed("root", "other"), "node")
+    least = both.groupBy("root", "other").agg(
+        F.min("node").alias("least"), F.count(F.lit(1)).alias("sets")
+    )
+    split = both.join(least.where(F.col("sets") > 1), ["root", "other"]).select(
+        "node", F.col("least").alias("root")
+    )
+    return cut(groups.join(large, "root", "left_anti").select("node", "root").unionAll(split))
+
+
 def jaccard_join(
     docs: DataFrame,
     id: str = "doc_id",
@@ -322,10 +358,13 @@ def jaccard_join(
         of_end = of.select(F.col("doc_id").alias(end), F.col("class_id").alias(f"{end}_class"))
         links = links.join(of_end, end)
     links = links.select(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
-    groups = connected(links)
-    groups = cut(
-        groups.unionAll(groups.select(F.col("root").alias("node"), "root").distinct())
-    )
+    groups = _with_roots(connected(links))
+    for salt in range(1, DEALS):
+        sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("sets"))
+        large = cut(sizes.where(F.col("sets") > BLOCK_SETS).select("root"))
+        if large.isEmpty():
+            break
+        groups = _dealt_anew(docs, groups, large, parts, id, text, words, percent, salt)
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("sets"))
     blocks = F.ceil(F.col("sets") / BLOCK_SETS).cast("int")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -349,7 +388,7 @@ def jaccard_join(
     )
     compared = cut(
         _texts(docs, id, text)
-        .join(tasks, F.col("doc_id") == F.col("class_id"))
+        .join(counted(tasks), F.col("doc_id") == F.col("class_id"))
         .drop("doc_id")
         .groupBy("root", "one", "two")
         .applyInArrow(_compared(words, percent), "class_id bigint, root bigint, links bigint")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Rows, of some hundred bytes at most, that are sent to every task.
+BROADCAST_ROWS = 200_000
+
 # Text in one block of documents; a Python task holds one block at a time.
 BLOCK_BYTES = 6 << 20
 
@@ -49,6 +52,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """A table of short rows that texts are matched with: cut, counted, and marked for
+    broadcast if it has few rows. Beyond that the texts are shuffled to it."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def block_count(docs: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
     """How many blocks the documents make at ``block_bytes`` of text each, and no
     fewer than the session's shuffle partitions."""
