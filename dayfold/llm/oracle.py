@@ -117,4 +117,36 @@ ORACLE = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op13_secret_scan": r"""
+        WITH rules(rule, listed, pattern, least, before) AS (VALUES
+            ('assign', 0, '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', 8, true),
+            ('access', 1, 'AKIA[A-Z0-9]{12,}', 16, false),
+            ('hex', 2, '[0-9a-f]{32,}', 32, false),
+            ('github', 3, 'gh[pousr]_[A-Za-z0-9]{36,}', 0, false),
+            ('slack', 4, 'xox[abprs]-[A-Za-z0-9-]{10,}', 0, false),
+            ('private_key', 5, '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, false)
+        ), found AS (
+            SELECT doc_id, row, rule, listed, least, before,
+                   regexp_extract_all(text, pattern) AS matches,
+                   regexp_split_to_array(text, pattern) AS gaps
+            FROM (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row FROM documents), rules
+        ), placed AS (
+            SELECT doc_id, row, rule, listed, least, before, i, matches[i] AS m,
+                   sum(length(gaps[i]) + length(matches[i])) OVER (PARTITION BY row, rule ORDER BY i)::INT AS e
+            FROM found, unnest(range(1, len(matches) + 1)) AS t(i)
+        ), held AS (
+            SELECT row, rule, listed, e - length(m) AS s, e, listed < 3 AS base FROM placed
+            WHERE length(CASE WHEN before THEN regexp_replace(m, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?', '') ELSE m END) >= least
+        ), summed AS (
+            SELECT row, count(*) FILTER (rule = 'assign') AS n_assign,
+                   count(*) FILTER (rule = 'access') AS n_access, count(*) FILTER (rule = 'hex') AS n_hex,
+                   string_agg(rule || ':' || s || ':' || e, ',' ORDER BY s, listed) FILTER (base) AS b,
+                   string_agg(rule || ':' || s || ':' || e, ',' ORDER BY s, listed) AS spans
+            FROM held GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+               coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256,
+               coalesce(spans, '') AS spans
+        FROM (SELECT doc_id, row_number() OVER () AS row FROM documents) LEFT JOIN summed USING (row)
+    """,
 }

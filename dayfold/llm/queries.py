@@ -16,6 +16,8 @@ from dayfold.llm.lm_score import score_texts
 from dayfold.llm.mixing import mix_sources, tempered_weights
 from dayfold.llm.pii import BASE_KINDS, find_pii, written
 from dayfold.llm.quality import held_out, learned, score
+from dayfold.llm.secret_scan import BASE_RULES, scan_secrets
+from dayfold.llm.secret_scan import written as written_secrets
 from dayfold.llm.sharding import shard_rows
 from dayfold.llm.substring_dedup import substring_dedup
 from dayfold.llm.topk import top_k
@@ -137,6 +139,22 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [rule.name for rule in BASE_RULES]
+    spans = F.col("spans")
+
+    def count(name: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["rule"] == name)).cast("bigint")
+
+    base = F.filter(spans, lambda s: s["rule"].isin(names))
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *[count(name).alias(f"n_{name}") for name in names],
+        F.sha2(written_secrets(base), 256).alias("base_sha256"),
+        written_secrets(spans).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
@@ -148,4 +166,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_topk": op10_topk,
+    "op13_secret_scan": op13_secret_scan,
 }
