@@ -117,6 +117,37 @@ ORACLE = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_lexical_search": r"""
+        WITH terms AS (
+            SELECT row, id, t.word, count(*) AS tf FROM (
+                SELECT row, id, unnest(regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word
+                FROM (SELECT row_number() OVER () AS row, doc_id AS id, text FROM documents)) t
+            GROUP BY ALL
+        ), lengths AS (
+            SELECT row, sum(tf)::BIGINT AS n FROM terms GROUP BY row
+        ), corpus AS (
+            SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths
+        ), weights AS (
+            SELECT word, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM terms, corpus GROUP BY word, docs
+        ), asked AS (
+            SELECT DISTINCT item, item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word
+            FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)
+        ), scored AS (
+            SELECT item, item_id, row, id, sum(w * ((1000000000 * tf)
+                // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // total)))))::BIGINT AS score
+            FROM asked JOIN terms USING (word) JOIN weights USING (word) JOIN lengths USING (row), corpus
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, id NULLS LAST)::INT AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, id AS doc_id, score FROM ranked WHERE rank <= 50
+    """,
     "op13_secret_scan": r"""
         WITH rules(rule, listed, pattern, least, before) AS (VALUES
             ('assign', 0, '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', 8, true),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from dayfold.llm.byte_bpe import encode
 from dayfold.llm.exact_dedup import exact_dedup
 from dayfold.llm.jaccard_join import jaccard_join
+from dayfold.llm.lexical_search import search
 from dayfold.llm.lm_score import score_texts
 from dayfold.llm.mixing import mix_sources, tempered_weights
 from dayfold.llm.pii import BASE_KINDS, find_pii, written
@@ -139,6 +140,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [rule.name for rule in BASE_RULES]
     spans = F.col("spans")
@@ -166,5 +171,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_topk": op10_topk,
+    "op11_lexical_search": op11_lexical_search,
     "op13_secret_scan": op13_secret_scan,
 }
