@@ -148,6 +148,90 @@ ORACLE = {
         )
         SELECT item_id, rank, id AS doc_id, score FROM ranked WHERE rank <= 50
     """,
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE checked AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, (
+                -- CRC-32, one byte after another
+                list_reduce([4294967295::BIGINT] || list_transform(
+                    string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                    lambda c: ascii(c)::BIGINT),
+                    lambda crc, byte: list_reduce([xor(crc, byte)] || range(8), lambda x, i:
+                        xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))
+            ) AS crc
+            FROM conversations
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+                   CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                        ELSE text END AS text
+            FROM (SELECT *, xor(crc, 4294967295) % 20 AS fault FROM checked),
+                 unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copies(copy)
+            WHERE fault <> 0
+        ), placed AS (
+            SELECT *, row_number() OVER same_conv AS i, left(role, 1) AS initial,
+                   lag(left(role, 1)) OVER same_conv AS previous,
+                   regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending
+            FROM damaged
+            WINDOW same_conv AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+        ), faults AS (
+            SELECT *, CASE
+                WHEN ending = '' THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM placed
+        ), inserts(state, audit, reached, lines) AS (VALUES
+            (0, '', 0, []::VARCHAR[]), (1, '', 1, []), (2, '', 2, []), (3, '', 3, []),
+            (0, 'I', 2, ['user:']), (1, 'I', 2, ['user:']), (2, 'I', 3, ['assistant:']),
+            (3, 'I', 2, ['user:']), (0, 'II', 3, ['user:', 'assistant:']),
+            (1, 'II', 3, ['user:', 'assistant:'])
+        ), edits(state, initial, edit, reached, cost, role) AS (VALUES
+            (0, 's', 'K', 1, 0, ''), (0, 'u', 'K', 2, 0, ''), (1, 'u', 'K', 2, 0, ''),
+            (2, 'a', 'K', 3, 0, ''), (3, 'u', 'K', 2, 0, ''),
+            (0, NULL, 'R', 2, 3, 'user'), (1, NULL, 'R', 2, 3, 'user'),
+            (2, NULL, 'R', 3, 3, 'assistant'), (3, NULL, 'R', 2, 3, 'user'),
+            (0, NULL, 'D', 0, 4, ''), (1, NULL, 'D', 1, 4, ''), (2, NULL, 'D', 2, 4, ''),
+            (3, NULL, 'D', 3, 4, '')
+        ), reached AS (
+            SELECT conv_id, 0::BIGINT AS i, 0 AS state,
+                   {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} AS best
+            FROM (SELECT DISTINCT conv_id FROM damaged)
+            UNION ALL
+            SELECT r.conv_id, f.i, e.reached, min({
+                'cost': r.best.cost + 3 * length(n.audit) + e.cost
+                    + CASE WHEN e.edit <> 'D' AND f.fault = 'truncated' THEN 3 ELSE 0 END,
+                'audit': r.best.audit || n.audit || e.edit,
+                'lines': r.best.lines || n.lines || CASE e.edit WHEN 'D' THEN []
+                    WHEN 'K' THEN [f.role || ':' || f.text] ELSE [e.role || ':' || f.text] END})
+            FROM reached r
+            JOIN faults f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i + 1
+            JOIN inserts n ON n.state = r.state
+            JOIN edits e ON e.state = n.reached AND coalesce(e.initial = f.initial, true)
+                AND (e.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+            GROUP BY r.conv_id, f.i, e.reached
+        ), ended AS (
+            SELECT r.conv_id, min({'cost': r.best.cost + 3 * length(n.audit),
+                'audit': r.best.audit || n.audit, 'lines': r.best.lines || n.lines}) AS best
+            FROM reached r
+            JOIN (SELECT conv_id, max(i) AS i FROM faults GROUP BY conv_id) l
+                ON l.conv_id IS NOT DISTINCT FROM r.conv_id AND l.i = r.i
+            JOIN inserts n ON n.state = r.state AND n.reached IN (0, 3)
+            GROUP BY r.conv_id
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faults GROUP BY conv_id
+        )
+        SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+               coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+               coalesce(best.audit, '') AS audit,
+               sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) ids
+        LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ids.conv_id
+        LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM ids.conv_id
+    """,
     "op13_secret_scan": r"""
         WITH rules(rule, listed, pattern, least, before) AS (VALUES
             ('assign', 0, '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', 8, true),

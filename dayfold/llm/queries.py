@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.llm.byte_bpe import encode
+from dayfold.llm.conversation_repair import damage, repair_conversations, transcripts
 from dayfold.llm.exact_dedup import exact_dedup
 from dayfold.llm.jaccard_join import jaccard_join
 from dayfold.llm.lexical_search import search
@@ -144,6 +145,24 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    faults, edits = repair_conversations(damage(conversations))
+    mended = transcripts(edits).withColumnRenamed("conv", "mended")
+    ids = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (
+        ids.join(faults, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+        .join(mended, F.col("conv_id").eqNullSafe(F.col("mended")), "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [rule.name for rule in BASE_RULES]
     spans = F.col("spans")
@@ -172,5 +191,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_topk": op10_topk,
     "op11_lexical_search": op11_lexical_search,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_secret_scan": op13_secret_scan,
 }
