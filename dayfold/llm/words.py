@@ -1,14 +1,14 @@
 """Words of many texts at once, as 64-bit hashes, on Arrow buffers.
 
 A word is a run of bytes other than 0x20 and 0x09-0x0D of the UTF-8 text. Equal
-words have equal hashes; different words collide about once in 2^60 pairs.
+words have equal hashes; different words collide once in 2^64 pairs.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +19,15 @@ import pyarrow.compute as pc
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX2 = np.uint64(0x94D049BB133111EB)
-BASE = 0x5851F42D4C957F2D
 
 # Text worked on at a time.
 BATCH_BYTES = 6 << 20
 
-# Bytes hashed in one go; a longer word is carried over whole.
-SEGMENT = 1 << 20
+# Bytes of the words that are hashed together.
+SHORT = 64
+
+# The lowest so many bytes of eight.
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -33,18 +35,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i modulo 2^64."""
-    inverse = pow(BASE, -1, 1 << 64)
-    out = []
-    for base in (BASE, inverse):
-        steps = np.full(n, base, np.uint64)
-        steps[0] = 1
-        out.append(np.multiply.accumulate(steps))
-    return out[0], out[1]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of ``h`` over all bits (splitmix64's finaliser)."""
     h = (h ^ (h >> np.uint64(30))) * MIX1
@@ -118,21 +108,23 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the bytes from each start to its end; spans rise and do not overlap."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        first = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, first + SEGMENT, "right")))
-        span = int(ends[j - 1] - first)
-        up, down = _powers(SEGMENT if span <= SEGMENT else span)
-        sums = np.zeros(span + 1, np.uint64)
-        letters = data[first : first + span].astype(np.uint64) + np.uint64(1)
-        np.cumsum(letters * up[:span], out=sums[1:])
-        a, b = starts[i:j] - first, ends[i:j] - first
-        lengths = (b - a).astype(np.uint64)
-        out[i:j] = mix((sums[b] - sums[a]) * down[a] + lengths * GOLDEN)
-        i = j
+    """A hash of the bytes from each start to its end.
+
+    Short spans are mixed in eight bytes after another, all at once; of the same length
+    up to eight, different ones have different hashes. Long ones go through BLAKE2.
+    """
+    lengths = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    out = mix(lengths.astype(np.uint64) * GOLDEN)
+    short = np.flatnonzero(lengths <= SHORT)
+    for at in range(0, SHORT, 8):
+        short = short[lengths[short] > at]
+        held = np.minimum(lengths[short] - at, 8)
+        out[short] = mix(out[short] ^ (eight[starts[short] + at] & LOW_BYTES[held])) + GOLDEN
+    for i in np.flatnonzero(lengths > SHORT):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.uint64(int.from_bytes(digest, "little"))
     return out
 
 
