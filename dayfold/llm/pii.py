@@ -1,9 +1,7 @@
 """Personal data in texts: patterns propose spans, checks confirm them, words
 nearby raise their score.
 
-Only built-in SQL functions run. A pattern's matches and the gaps between them
-come from the same search, so their lengths add up to the places of the matches,
-in code points, end exclusive. Matches of one kind do not overlap; a match that
+Only built-in SQL functions run. Matches of one kind do not overlap; a match that
 its check refuses is dropped and nothing is tried in its place.
 """
 
@@ -15,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayfold.llm.spans import with_matches
+
 # Letters before and after a span, as far as the next match of its kind, that are
 # searched for context words.
 BEFORE = 40
@@ -138,35 +138,27 @@ def _near(words: tuple[str, ...], before: Column, after: Column) -> Column:
     return F.right(before, F.lit(BEFORE)).rlike(pattern) | F.left(after, F.lit(AFTER)).rlike(pattern)
 
 
-def _spans(kind: Kind, matches: Column, gaps: Column) -> Column:
-    """The spans of one kind, from its matches and the gaps around them."""
+def _spans(kind: Kind) -> Column:
+    """The spans of one kind, from its matches and what is around them."""
+    matches = F.col(f"_{kind.name}")
+    if kind.check:
+        matches = F.filter(matches, lambda m: kind.check(m["match"]))
 
-    def step(state: Column, i: Column) -> Column:
-        match, gap = F.get(matches, i), F.get(gaps, i)
-        start = state["at"] + F.length(gap)
-        end = start + F.length(match)
-        score = (
-            F.lit(MATCHED + (CHECKED if kind.check else 0.0))
-            + F.when(_near(kind.context, gap, F.get(gaps, i + 1)), CONTEXT).otherwise(0.0)
-        )
-        span = F.struct(
+    def span(m: Column) -> Column:
+        near = _near(kind.context, m["before"], m["after"])
+        score = F.lit(MATCHED + (CHECKED if kind.check else 0.0)) + F.when(near, CONTEXT).otherwise(0.0)
+        return F.struct(
             F.lit(kind.name).alias("kind"),
-            start.alias("start"),
-            end.alias("end"),
+            (m["end"] - F.length(m["match"])).alias("start"),
+            m["end"].alias("end"),
             score.alias("score"),
         )
-        holds = kind.check(match) if kind.check else F.lit(True)
-        if kind.least:
-            holds = holds & (score >= kind.least)
-        found = F.when(holds, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
 
-    empty = F.lit([]).cast("array<struct<kind:string,start:int,end:int,score:double>>")
-    begin = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    steps = F.sequence(F.lit(0), F.size(matches) - 1)
-    return F.when(
-        F.size(matches) > 0, F.aggregate(steps, begin, step, lambda state: state["found"])
-    ).otherwise(empty)
+    spans = F.transform(matches, span)
+    if kind.least:
+        spans = F.filter(spans, lambda s: s["score"] >= kind.least)
+    none = F.lit([]).cast("array<struct<kind:string,start:int,end:int,score:double>>")
+    return F.coalesce(spans, none)
 
 
 def find_pii(
@@ -178,23 +170,10 @@ def find_pii(
     A null or empty text has no spans. Repeated rows and null ids give rows as
     any other; other columns are not read.
     """
-    whole = F.col("_text")
     out = docs.select(F.col(id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-
-    def found(kind: Kind) -> Column:
-        every = F.regexp_extract_all(whole, F.lit(kind.pattern), F.lit(0))
-        none = F.lit([]).cast("array<string>")
-        return F.when(F.contains(whole, F.lit(kind.needs)), every).otherwise(none)
-
-    out = out.select("*", *[found(kind).alias(f"_{kind.name}") for kind in kinds])
-    parts = []
-    for kind in kinds:
-        matches = F.col(f"_{kind.name}")
-        gaps = F.when(F.size(matches) > 0, F.split(whole, kind.pattern, -1))
-        parts.append((kind, matches, gaps))
-    out = out.select("*", *[gaps.alias(f"_{k.name}_gaps") for k, _, gaps in parts])
-    spans = [_spans(k, matches, F.col(f"_{k.name}_gaps")) for k, matches, _ in parts]
-    return out.select("doc_id", F.concat(*spans).alias("spans"))
+    wanted = {kind.name: F.contains(F.col("_text"), F.lit(kind.needs)) for kind in kinds}
+    out = with_matches(out, "_text", {kind.name: kind.pattern for kind in kinds}, wanted)
+    return out.select("doc_id", F.concat(*map(_spans, kinds)).alias("spans"))
 
 
 def written(spans: Column) -> Column:

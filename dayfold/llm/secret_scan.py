@@ -96,21 +96,18 @@ def unseen(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]) -> Data
 
 def _spans(rule: Rule) -> Column:
     """The spans of one rule, from its matches and their ends."""
-
-    def span(match: Column, end: Column) -> Column:
-        return F.struct(
-            F.lit(rule.name).alias("rule"),
-            (end - F.length(match)).alias("start"),
-            end.alias("end"),
-            match.alias("match"),
-        )
-
-    spans = F.zip_with(F.col(f"_{rule.name}"), F.col(f"_{rule.name}_ends"), span)
+    matches = F.col(f"_{rule.name}")
     if rule.check:
-        spans = F.filter(spans, lambda s: rule.check(s["match"]))
-    plain = F.transform(spans, lambda s: F.struct(s["rule"], s["start"], s["end"]))
-    none = F.lit([]).cast("array<struct<rule:string,start:int,end:int>>")
-    return F.when(F.size(f"_{rule.name}") > 0, plain).otherwise(none)
+        matches = F.filter(matches, lambda m: rule.check(m["match"]))
+    spans = F.transform(
+        matches,
+        lambda m: F.struct(
+            F.lit(rule.name).alias("rule"),
+            (m["end"] - F.length(m["match"])).alias("start"),
+            m["end"].alias("end"),
+        ),
+    )
+    return F.coalesce(spans, F.lit([]).cast("array<struct<rule:string,start:int,end:int>>"))
 
 
 def scanned(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -156,10 +153,11 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         current, lambda s: F.struct(s["start"], order[s["rule"]].alias("order"), s["rule"], s["end"])
     )
     each = ledger.select("blob", ordered.alias("spans")).where(F.size("spans") > 0)
-    sorted_spans = F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans"))))
-    return each.groupBy("blob").agg(sorted_spans.alias("spans")).select(
-        "blob", F.transform("spans", lambda s: F.struct(s["rule"], s["start"], s["end"])).alias("spans")
-    )
+    found = each.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    # A run that broke off may have found the same before.
+    once = F.filter("spans", lambda s, i: (i == 0) | (s != F.get("spans", i - 1)))
+    plain = F.transform("once", lambda s: F.struct(s["rule"], s["start"], s["end"]))
+    return found.withColumn("once", once).select("blob", plain.alias("spans"))
 
 
 def scan_secrets(

@@ -6,7 +6,7 @@ to the places of the matches, in code points, end exclusive.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,12 @@ from pyspark.sql import functions as F
 CHUNK = 64
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once. A column that a lambda refers to from
+    outside may be computed again for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _sums(start: Column, values: Column) -> Column:
     """``start`` and the running sums on top of it."""
     return F.aggregate(
@@ -23,50 +29,37 @@ def _sums(start: Column, values: Column) -> Column:
     )
 
 
-def with_running(df: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
-    """Adds, under the new name, the running sums of an array of integers."""
+def running(values: Column) -> Column:
+    """The running sums of an array of integers; null for an empty one."""
 
-    def chunks_of(old: str) -> Column:
-        numbers = F.sequence(F.lit(0), F.floor((F.size(old) - 1) / CHUNK).cast("int"))
-        return F.transform(numbers, lambda k: F.slice(F.col(old), k * CHUNK + 1, CHUNK))
+    def chunked(values: Column) -> Column:
+        def chunk(k: Column) -> Column:
+            places = F.sequence(k * CHUNK, F.least((k + 1) * CHUNK, F.size(values)) - 1)
+            return F.transform(places, lambda i: F.get(values, i))
 
-    chunked = {f"_{new}_chunks": chunks_of(old) for new, old in arrays.items()}
-    before = {
-        f"_{new}_before": _sums(
-            F.lit(0),
-            F.transform(
-                F.col(f"_{new}_chunks"), lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b)
-            ),
-        )
-        for new in arrays
-    }
+        numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int"))
+        return F.transform(numbers, chunk)
 
-    def within(new: str) -> Column:
-        chunks, starts = F.col(f"_{new}_chunks"), F.col(f"_{new}_before")
-        starts = F.slice(starts, F.lit(1), F.size(chunks))
+    def summed(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b))
+        starts = F.slice(_sums(F.lit(0), totals), F.lit(1), F.size(chunks))
         sums = F.zip_with(chunks, starts, lambda c, s: F.slice(_sums(s, c), F.lit(2), F.size(c)))
         return F.flatten(sums)
 
-    def where_any(columns: Mapping[str, Column], by: Mapping[str, str]) -> dict[str, Column]:
-        return {name: F.when(F.size(by[name]) > 0, c) for name, c in columns.items()}
-
-    of = {f"_{new}_{part}": old for new, old in arrays.items() for part in ("chunks", "before")}
-    out = df.withColumns(where_any(chunked, of)).withColumns(where_any(before, of))
-    out = out.withColumns(where_any({new: within(new) for new in arrays}, arrays))
-    return out.drop(*of)
+    return F.when(F.size(values) > 0, let(let(values, chunked), summed))
 
 
 def with_matches(
     df: DataFrame, text: str, patterns: Mapping[str, str], wanted: Mapping[str, Column]
 ) -> DataFrame:
-    """Adds for each pattern ``_name``, its matches, ``_name_gaps``, the text before,
-    between and after them, and ``_name_ends``, where they end; the latter two are null
-    where there is no match or the pattern is not ``wanted``."""
+    """Adds for each pattern ``_name``, its matches as (match, before, after, end), with
+    the text since the match before and until the next; none where the pattern is not
+    ``wanted``."""
     whole = F.col(text)
     none = F.lit([]).cast("array<string>")
     out = df.withColumns(
         {
-            f"_{name}": F.when(
+            f"_{name}_matches": F.when(
                 wanted[name], F.regexp_extract_all(whole, F.lit(pattern), F.lit(0))
             ).otherwise(none)
             for name, pattern in patterns.items()
@@ -74,17 +67,29 @@ def with_matches(
     )
     out = out.withColumns(
         {
-            f"_{name}_gaps": F.when(F.size(f"_{name}") > 0, F.split(whole, pattern, -1))
+            f"_{name}_gaps": F.when(F.size(f"_{name}_matches") > 0, F.split(whole, pattern, -1))
             for name, pattern in patterns.items()
         }
     )
 
-    def steps(name: str) -> Column:
-        gaps = F.col(f"_{name}_gaps")
-        return F.transform(
-            F.col(f"_{name}"), lambda match, i: F.length(match) + F.length(F.get(gaps, i))
+    def around(name: str) -> Column:
+        def each(matches: Column, gaps: Column) -> Column:
+            steps = F.zip_with(matches, gaps, lambda m, g: F.length(m) + F.length(g))
+            ends = running(F.slice(steps, F.lit(1), F.size(matches)))
+            placed = F.zip_with(
+                matches, ends, lambda m, e: F.struct(m.alias("match"), e.alias("end"))
+            )
+            after = F.slice(gaps, F.lit(2), F.size(matches))
+            beside = F.zip_with(gaps, after, lambda b, a: F.struct(b.alias("before"), a.alias("after")))
+            return F.zip_with(
+                placed,
+                F.slice(beside, F.lit(1), F.size(matches)),
+                lambda p, b: F.struct(p["match"], b["before"], b["after"], p["end"]),
+            )
+
+        matches, gaps = F.col(f"_{name}_matches"), F.col(f"_{name}_gaps")
+        return F.when(
+            F.size(matches) > 0, let(matches, lambda m: let(gaps, lambda g: each(m, g)))
         )
 
-    out = out.withColumns({f"_{name}_steps": steps(name) for name in patterns})
-    out = with_running(out, {f"_{name}_ends": f"_{name}_steps" for name in patterns})
-    return out.drop(*[f"_{name}_steps" for name in patterns])
+    return out.withColumns({f"_{name}": around(name) for name in patterns})
