@@ -9,7 +9,7 @@ from dayfold.functions.dates import month_start
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
 
-def _running(value: Column, window) -> Column:
+def running(value: Column, window) -> Column:
     """Running sum by rows. A NULL adds nothing and stays NULL itself."""
     frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return F.when(value.isNotNull(), F.sum(value).over(frame))
@@ -24,9 +24,10 @@ def running_total(
     """Running total over one row per day, ordered by date.
 
     The window has one partition, and its size is the number of days, however
-    many facts there are. For finer grids use ``running_total_two_pass``.
+    many facts there are. For finer grids use ``running_total_two_pass``, or
+    ``running_total_in_ranges`` where a month is too much for a task as well.
     """
-    return daily.withColumn(name, _running(F.col(value), Window.orderBy(date))).orderBy(date)
+    return daily.withColumn(name, running(F.col(value), Window.orderBy(date))).orderBy(date)
 
 
 def running_total_two_pass(
@@ -52,7 +53,7 @@ def running_total_two_pass(
             F.coalesce(F.sum("_sum").over(months_before), F.lit(0)).alias("_before"),
         )
     )
-    within = _running(F.col(value), Window.partitionBy("_month").orderBy(date))
+    within = running(F.col(value), Window.partitionBy("_month").orderBy(date))
     return (
         by_month.withColumn("_within", within)
         .join(offsets, F.col("_month").eqNullSafe(F.col("_of")))
@@ -79,7 +80,7 @@ def key_timelines(
     )
     own_days = Window.partitionBy(spec.key).orderBy(spec.date)
     return daily.withColumn(
-        "cumulative", _running(F.col("daily_confirmed"), own_days)
+        "cumulative", running(F.col("daily_confirmed"), own_days)
     ).orderBy(spec.key, spec.date)
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayfold.operators.latest import last_row_per_key, latest_rows
+from dayfold.operators.latest import Latest, last_row_per_key, latest_rows
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
 
 def snapshot_rows(
-    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: Latest = None
 ) -> DataFrame:
     """Tied rows summed, the rate averaged; unordered.
 
@@ -27,13 +27,13 @@ def by_size(snapshot: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
 
 
 def region_snapshot(
-    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: Latest = None
 ) -> DataFrame:
     return by_size(snapshot_rows(facts, spec, latest), spec)
 
 
 def region_snapshot_one_row(
-    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: Latest = None
 ) -> DataFrame:
     """The last row of each key as it stands, sorted by key."""
     return (

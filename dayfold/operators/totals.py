@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dayfold.functions.dates import month_label, month_start
 from dayfold.functions.measures import active, guarded_ratio
-from dayfold.operators.latest import last_row_per_key
+from dayfold.operators.latest import Latest, last_row_per_key
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
 
@@ -56,7 +56,7 @@ def global_summary(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFram
 
 
 def global_summary_latest(
-    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: DataFrame | None = None
+    facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC, latest: Latest = None
 ) -> DataFrame:
     """The same six totals over the **last row of each key** only.
 

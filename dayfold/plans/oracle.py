@@ -157,6 +157,17 @@ _FACT_COLUMNS = (
     "Date, Country, ISO_Alpha, Latitude, Longitude, Confirmed, Deaths, Recoveries, Active_Per_100k"
 )
 
+_DELTA = (
+    FACT
+    + DAILY
+    + """
+SELECT Date, daily_confirmed,
+       daily_confirmed - lag(daily_confirmed) OVER (ORDER BY Date) AS delta_confirmed
+FROM daily ORDER BY Date"""
+)
+
+_EXTENT = "count(*) AS fact_rows, min(Date) AS first_date, max(Date) AS latest_date"
+
 ORACLE: dict[str, str] = {
     "fact_rows": FACT + f" SELECT {_FACT_COLUMNS} FROM fact",
     "dim_dedup": """
@@ -189,6 +200,10 @@ UNION ALL
 SELECT 'active_given' AS variant, * FROM ({_summary("last_row", "Confirmed - Deaths")})""",
     "daily_totals": FACT + DAILY + " SELECT * FROM daily ORDER BY Date",
     "latest_date_by_key": FACT + " SELECT Country, max(Date) AS latest_date FROM fact WHERE Country IS NOT NULL GROUP BY 1",
+    "stored_latest_dates": FACT
+    + f" SELECT Country, {_EXTENT} FROM fact WHERE Country IS NOT NULL GROUP BY Country",
+    "stored_extent": FACT
+    + f" SELECT {_EXTENT}, count(*) = 0 AS is_empty FROM fact WHERE Country IS NOT NULL",
     "monthly_totals": FACT + MONTHLY + " SELECT * FROM monthly ORDER BY Country, month",
     "key_list": FACT + " SELECT DISTINCT Country FROM fact WHERE Country IS NOT NULL ORDER BY Country",
     "latest_rows": FACT
@@ -205,6 +220,7 @@ SELECT Country, ISO_Alpha, Latitude, Longitude, Confirmed AS confirmed,
        Active_Per_100k AS active_per_100k FROM last_row ORDER BY Country""",
     "global_trend": _TREND,
     "global_trend_two_pass": _TREND,
+    "global_trend_in_ranges": _TREND,
     "key_timeline": FACT
     + TIMELINES
     + f" SELECT * FROM timeline WHERE Country = '{KEY}' ORDER BY Date",
@@ -225,12 +241,8 @@ SELECT Country, month, monthly_confirmed, previous_confirmed,
 FROM (SELECT *, lag(monthly_confirmed) OVER (PARTITION BY Country ORDER BY month)
              AS previous_confirmed FROM monthly)
 ORDER BY Country, month""",
-    "daily_delta": FACT
-    + DAILY
-    + """
-SELECT Date, daily_confirmed,
-       daily_confirmed - lag(daily_confirmed) OVER (ORDER BY Date) AS delta_confirmed
-FROM daily ORDER BY Date""",
+    "daily_delta": _DELTA,
+    "daily_delta_in_ranges": _DELTA,
     "headline_kpis": FACT + _headline("fact"),
     "headline_kpis_latest": FACT + LAST + _headline("last_row"),
     "map_points": FACT + SNAPSHOT + _map("snap"),

@@ -6,7 +6,6 @@ operators, because a sum of doubles depends on the order of addition.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +13,12 @@ from pyspark.sql import functions as F
 
 from dayfold.functions.formats import fixed_decimals, human_number, thousands
 from dayfold.functions.measures import active, per_capita_rate, truncate_at_zero
-from dayfold.operators import cumulative, latest, panel, snapshot, totals
+from dayfold.operators import cumulative, latest, panel, ranges, snapshot, totals
+from dayfold.operators.latest import known_latest
 from dayfold.plans import reports
 from dayfold.schema import FACT_SCHEMA, PanelSpec
 from dayfold.sources.shipments import SHIPMENT_SPEC, SITE_SPEC, Shipments
-from dayfold.sources.sinks import remove, shared_folder, write_facts
+from dayfold.sources.stored import STORED_SPEC, footer_extent, footer_total, stored_facts
 from dayfold.sources.tables import dedup_dimension, first_n_keys, keep_keys, read_facts
 
 Query = Callable[[Shipments], DataFrame]
@@ -37,11 +37,11 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def places(ship: Shipments) -> DataFrame:
     """The ties-summed snapshot that several reports start from."""
-    return snapshot.snapshot_rows(ship.facts, SHIPMENT_SPEC, ship.latest)
+    return snapshot.snapshot_rows(ship.facts, SHIPMENT_SPEC, ship.known_latest)
 
 
 def last_rows_summary(ship: Shipments) -> DataFrame:
-    return totals.global_summary_latest(ship.facts, SHIPMENT_SPEC, ship.latest)
+    return totals.global_summary_latest(ship.facts, SHIPMENT_SPEC, ship.known_latest)
 
 
 # Sources and layout
@@ -61,7 +61,8 @@ def dim_dedup(ship):
 
 def first_keys(ship):
     """The nations are cut before lines are looked up."""
-    kept = ship.facts_at(keep_keys(ship.places, first_n_keys(ship.nations, FIRST_KEYS)))
+    chosen = first_n_keys(ship.nations, FIRST_KEYS)
+    kept = ship.facts_at(keep_keys(ship.places_in(chosen), chosen))
     return kept.select("Date", "Country", "Confirmed", *SHIPMENT_SPEC.tiebreak)
 
 
@@ -109,7 +110,7 @@ def global_summary_optional_cols(ship):
         "active_given": ship.facts.withColumn("Active", F.col("Confirmed") - F.col("Deaths")),
     }
     first, second = (
-        totals.global_summary_latest(df, SHIPMENT_SPEC, ship.latest).select(
+        totals.global_summary_latest(df, SHIPMENT_SPEC, ship.known_latest).select(
             F.lit(name).alias("variant"), "*"
         )
         for name, df in variants.items()
@@ -137,7 +138,7 @@ def key_list(ship):
 
 
 def latest_rows(ship):
-    rows = latest.latest_rows(ship.facts, SHIPMENT_SPEC, ship.latest)
+    rows = latest.latest_rows(ship.facts, SHIPMENT_SPEC, ship.known_latest)
     return rows.select(*FACT_SCHEMA.names, *SHIPMENT_SPEC.tiebreak)
 
 
@@ -151,22 +152,24 @@ def region_snapshot_rollup(ship):
 
 
 def region_snapshot_one_row(ship):
-    return snapshot.region_snapshot_one_row(ship.facts, SHIPMENT_SPEC, ship.latest)
+    return snapshot.region_snapshot_one_row(ship.facts, SHIPMENT_SPEC, ship.known_latest)
 
 
 def stored_snapshot(ship):
-    """The snapshot of a fact table in the library's own layout, written for the time of
-    the query. The few rows of the result are cut from it before it goes."""
-    spark = ship.spark
-    path = f"{shared_folder(spark)}/dayfold/facts-{uuid.uuid4().hex}"
-    try:
-        write_facts(ship.facts.select(*FACT_SCHEMA.names).where("Country IS NOT NULL"), path)
-        rows = snapshot.snapshot_rows(read_facts(spark, path))
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(shared_folder(spark))
-        return rounded(rows.checkpoint(), "active_per_100k")
-    finally:
-        remove(spark, path)
+    """The snapshot of the fact table as it is stored, by month: only the folders of the
+    months that hold a latest date are opened."""
+    facts = read_facts(ship.spark, stored_facts(ship, "month"), STORED_SPEC.month)
+    return rounded(snapshot.snapshot_rows(facts, STORED_SPEC), "active_per_100k")
+
+
+def stored_latest_dates(ship):
+    """Days, rows and dates of each key from the file footers of the table split by key."""
+    return footer_extent(ship.spark, stored_facts(ship, "key"), STORED_SPEC)
+
+
+def stored_extent(ship):
+    """Rows, first and last date of all facts, and whether there are none, from footers."""
+    return footer_total(ship.spark, stored_facts(ship, "month"), STORED_SPEC)
 
 
 # Running totals and changes
@@ -180,6 +183,10 @@ def global_trend_two_pass(ship):
     return cumulative.running_total_two_pass(totals.sum_by_day(ship.measures))
 
 
+def global_trend_in_ranges(ship):
+    return ranges.running_total_in_ranges(totals.sum_by_day(ship.measures))
+
+
 def key_timeline(ship):
     return cumulative.key_timelines(ship.facts_at(ship.places_of(KEY)), KEY)
 
@@ -209,6 +216,11 @@ def daily_delta(ship):
     return cumulative.daily_delta(totals.sum_by_day(ship.measures))
 
 
+def daily_delta_in_ranges(ship):
+    daily = totals.sum_by_day(ship.measures).select("Date", "daily_confirmed")
+    return ranges.delta_in_ranges(daily)
+
+
 # Reports
 
 
@@ -229,8 +241,8 @@ def map_points_one_row(ship):
 
 
 def key_detail(ship):
-    latest = ship.latest.where(F.col("Country") == KEY)
-    return reports.key_detail(ship.facts_at(ship.places_of(KEY)), KEY, SHIPMENT_SPEC, latest)
+    known = known_latest(ship.latest.where(F.col("Country") == KEY))
+    return reports.key_detail(ship.facts_at(ship.places_of(KEY)), KEY, SHIPMENT_SPEC, known)
 
 
 def top10_keys(ship):
@@ -275,13 +287,17 @@ BY_NAME: dict[str, Query] = {
     "region_snapshot_rollup": region_snapshot_rollup,
     "region_snapshot_one_row": region_snapshot_one_row,
     "stored_snapshot": stored_snapshot,
+    "stored_latest_dates": stored_latest_dates,
+    "stored_extent": stored_extent,
     "global_trend": global_trend,
     "global_trend_two_pass": global_trend_two_pass,
+    "global_trend_in_ranges": global_trend_in_ranges,
     "key_timeline": key_timeline,
     "all_key_timelines": all_key_timelines,
     "timeline_labels": timeline_labels,
     "monthly_growth": monthly_growth,
     "daily_delta": daily_delta,
+    "daily_delta_in_ranges": daily_delta_in_ranges,
     "headline_kpis": headline_kpis,
     "headline_kpis_latest": headline_kpis_latest,
     "map_points": map_points,

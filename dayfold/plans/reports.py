@@ -16,6 +16,7 @@ from dayfold.operators.cumulative import (
     monthly_growth,
     running_total,
 )
+from dayfold.operators.latest import Latest
 from dayfold.operators.ranking import TOP_K, lookup, top_k
 from dayfold.operators.snapshot import (
     by_size,
@@ -64,7 +65,7 @@ def key_detail(
     facts: DataFrame,
     key: str,
     spec: PanelSpec = DEFAULT_SPEC,
-    latest: DataFrame | None = None,
+    latest: Latest = None,
 ) -> DataFrame:
     """The formatted card of one key. The key is filtered on the facts, so only
     its own rows are read where the table is laid out for it. ``latest`` may hold

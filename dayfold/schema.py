@@ -42,6 +42,8 @@ class PanelSpec:
     them the remaining columns of the table are used, in their order.
     ``scan_date`` names the stored column that the date is cast from, where that is
     another one; bounds on the date are put on it too, as only those reach a scan.
+    ``month`` names the column of a stored table that its folders are split by, the
+    first day of the date's month; months are chosen by it before a file is opened.
     """
 
     key: str = "Country"
@@ -56,6 +58,7 @@ class PanelSpec:
     ordinal: str = "ordinal"
     tiebreak: tuple[str, ...] = ()
     scan_date: str | None = None
+    month: str | None = None
 
     @property
     def place(self) -> tuple[str, ...]:

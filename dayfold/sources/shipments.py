@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dayfold.functions.dates import month_start
 from dayfold.functions.measures import per_capita_rate
-from dayfold.operators.latest import latest_date_by_key
+from dayfold.operators.latest import KNOWN_KEYS, KnownLatest, known_latest, latest_date_by_key
 from dayfold.schema import PanelSpec
 from dayfold.sources.tables import denormalise, read_typed
 
@@ -46,17 +46,13 @@ TABLES = {
 }
 
 
-CHECKED: set[tuple[str, str]] = set()
-
-
 def broadcast_bytes(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
-def small(table: DataFrame) -> bool:
-    """Whether a stored table's files are within the session's broadcast limit."""
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= broadcast_bytes(table.sparkSession)
+def stored_bytes(table: DataFrame) -> int:
+    """How large a stored table's files are, as the optimizer knows."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 class Shipments:
@@ -70,20 +66,21 @@ class Shipments:
         self.spark = spark
         self.sf_dir = sf_dir
         self.tables: dict[str, DataFrame] = {}
+        self.sizes: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A table with its declared types. Reading a file's own schema is a job, so each
-        is checked once a session."""
+        """A table with its declared types, checked against the file's own schema."""
         if name not in self.tables:
             path = f"{self.sf_dir}/{name}.parquet"
-            known = (self.spark.sparkContext.applicationId, path)
-            if known in CHECKED:
-                self.tables[name] = self.spark.read.schema(TABLES[name]).parquet(path)
-            else:
-                self.tables[name] = read_typed(self.spark, path, TABLES[name])
-                CHECKED.add(known)
+            self.tables[name] = read_typed(self.spark, path, TABLES[name])
         return self.tables[name]
 
+    def small(self, name: str) -> bool:
+        """Whether a table is within the session's broadcast limit."""
+        if name not in self.sizes:
+            self.sizes[name] = stored_bytes(self.table(name))
+        return self.sizes[name] <= broadcast_bytes(self.spark)
+
     @cached_property
     def nations(self) -> DataFrame:
         """One row per nation. The left join to a per-nation aggregate is dropped
@@ -104,7 +101,7 @@ class Shipments:
             "double(n_nationkey) * 14 - 170 AS Longitude",
             f"coalesce(customers, 0) * {PEOPLE_PER_CUSTOMER} AS Population",
         )
-        return F.broadcast(nations) if small(stored) else nations
+        return F.broadcast(nations) if self.small("nation") else nations
 
     @cached_property
     def sites(self) -> DataFrame:
@@ -132,13 +129,29 @@ class Shipments:
         a hot supplier.
         """
         places = denormalise(self.suppliers, self.nations, PanelSpec(key="ordinal"))
-        return F.broadcast(places) if small(self.table("supplier")) else places
+        return F.broadcast(places) if self.small("supplier") else places
+
+    def places_in(self, nations: DataFrame) -> DataFrame:
+        """The places, of these nations at least.
+
+        Where suppliers are too many to broadcast, their nations' codes, if not very many,
+        become a filter of literals on the suppliers. Spark can then build a runtime
+        filter from the suppliers left, and lines of others are not shuffled for the join.
+        """
+        if self.small("supplier"):
+            return self.places
+        codes = [row[0] for row in nations.select("ordinal").take(KNOWN_KEYS + 1)]
+        if len(codes) > KNOWN_KEYS:
+            return self.places
+        own = self.suppliers.where(F.col("ordinal").isin(codes))
+        return denormalise(own, self.nations, PanelSpec(key="ordinal"))
 
     def places_of(self, key: str) -> DataFrame:
         """The places of one nation. Where the suppliers are too many to broadcast its
         own may be few; they are counted, and then marked."""
-        own = self.places.where(F.col("Country") == key)
-        if small(self.table("supplier")):
+        named = F.col("Country") == key
+        own = self.places_in(self.nations.where(named)).where(named)
+        if self.small("supplier"):
             return own
         own_size = own.count() * PLACE_BYTES
         return F.broadcast(own) if own_size <= broadcast_bytes(self.spark) else own
@@ -189,16 +202,25 @@ class Shipments:
         """The same by name, which is unique: ``latest_date_by_key`` of the facts. One
         row per nation, marked for broadcast where the nations' table is small."""
         named = self.latest_by_nation.join(self.nations, "ordinal").select("Country", "latest_date")
-        return F.broadcast(named) if small(self.table("nation")) else named
+        return F.broadcast(named) if self.small("nation") else named
+
+    @cached_property
+    def known_latest(self) -> KnownLatest | DataFrame:
+        """The same worked out, for the queries about the rows on those dates."""
+        return known_latest(self.latest)
 
     @cached_property
     def monthly_facts(self) -> DataFrame:
-        """Facts summed to (nation's supplier, month), dated on its first day.
+        """Facts for queries by month or coarser.
 
-        For queries by month or coarser. Lines are summed before suppliers are
-        looked up, so the join carries months of suppliers instead of lines, and
-        a supplier with a third of all lines is a few rows per task.
+        Where suppliers are few enough to broadcast, lines find their place in the
+        task that reads them and are summed once, by place. Beyond, they are summed to
+        (supplier, month) before suppliers are looked up, so the join carries months of
+        suppliers instead of lines, and a supplier with a third of all lines is a few
+        rows per task.
         """
+        if self.small("supplier") and self.small("nation"):
+            return self.placed(self.measures)
         by_supplier = self.measures.groupBy(
             "l_suppkey", month_start(F.col("Date")).alias("Date")
         ).agg(F.sum("Confirmed").alias("Confirmed"))

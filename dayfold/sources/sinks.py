@@ -15,7 +15,11 @@ from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
 
 def write_facts(
-    facts: DataFrame, path: str, spec: PanelSpec = DEFAULT_SPEC, mode: str = "errorifexists"
+    facts: DataFrame,
+    path: str,
+    spec: PanelSpec = DEFAULT_SPEC,
+    mode: str = "errorifexists",
+    split_by: str | None = None,
 ) -> None:
     """Write facts clustered by key and month, sorted by key and date.
 
@@ -23,15 +27,22 @@ def write_facts(
     rather than a plain repartition: AQE then splits a (key, month) that is too
     large for one task and merges small ones. The sort inside each file gives
     row groups narrow key and date ranges, which pushed filters skip by.
+
+    ``split_by`` divides the table into folders, by month, in a column named
+    ``spec.month``, or by key. Rows are then spread by what folders are split by
+    alone, so that a folder has few files.
     """
-    spread = facts.withColumn("_month", month_start(F.col(spec.date)))
-    (
-        spread.hint("rebalance", F.col(spec.key), F.col("_month"))
-        .sortWithinPartitions(spec.key, spec.date)
-        .drop("_month")
-        .write.mode(mode)
-        .parquet(path)
-    )
+    if split_by not in (None, "key", "month"):
+        raise ValueError(f"facts are split by key or month, not by {split_by}")
+    month = spec.month or "_month"
+    spread = facts.withColumn(month, month_start(F.col(spec.date)))
+    by = {None: [spec.key, month], "key": [spec.key], "month": [month]}[split_by]
+    spread = spread.hint("rebalance", *map(F.col, by))
+    spread = spread.sortWithinPartitions(*([month] if split_by == "month" else []), spec.key, spec.date)
+    if split_by != "month":
+        spread = spread.drop(month)
+    writer = spread.write.mode(mode)
+    (writer.partitionBy(*by) if split_by else writer).parquet(path)
 
 
 def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
@@ -65,11 +76,25 @@ def settled(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
         remove(spark, path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Compute a table and go on from a checkpoint of it in the shared folder, which
+    Spark's cleaner may remove after use."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's path and the file system that it is on."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of ours, on whatever file system it is."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = file_system(spark, path)
+    files.delete(target, True)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

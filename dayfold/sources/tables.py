@@ -29,20 +29,26 @@ def read_typed(
     another type fails when it is read.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    present = set(spark.read.parquet(path).columns)
-    missing = [f.name for f in fields if f.name not in present]
+    stored = spark.read.parquet(path)
+    types = {f.name: f.dataType for f in stored.schema}
+    missing = [f.name for f in fields if f.name not in types]
     required = [name for name in missing if name not in optional]
     if required:
         raise ValueError(f"{path} has no column {', '.join(required)}")
     kept = T.StructType([f for f in fields if f.name not in missing])
+    if all(types[f.name] == f.dataType for f in kept):
+        return stored.select(*kept.names)
     return spark.read.schema(kept).parquet(path)
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
+def read_facts(spark: SparkSession, path: str, month: str | None = None) -> DataFrame:
     """The fact table; without recoveries or rate where the file has none, and with
-    a ready active column where it has one."""
-    schema = T.StructType([*FACT_SCHEMA.fields, READY_ACTIVE])
-    return read_typed(spark, path, schema, (*OPTIONAL_FACTS, READY_ACTIVE.name))
+    a ready active column where it has one. ``month`` names the column that its folders
+    are split by, if they are."""
+    fields = [*FACT_SCHEMA.fields, READY_ACTIVE]
+    if month:
+        fields.append(T.StructField(month, T.DateType(), True))
+    return read_typed(spark, path, T.StructType(fields), (*OPTIONAL_FACTS, READY_ACTIVE.name))
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Reports, the one-pass dashboard, and delivery."""
 
+import os
+import shutil
 from pathlib import Path
 
 import pytest
@@ -13,8 +15,9 @@ from dayfold.operators.totals import global_summary, global_summary_latest, sum_
 from dayfold.plans import reports
 from dayfold.plans.registry import QUERIES
 from dayfold.schema import DIMENSION_SCHEMA, FACT_SCHEMA
-from dayfold.sources.shipments import Shipments
+from dayfold.sources.shipments import TABLES, Shipments
 from dayfold.sources.sinks import is_empty, one_row, settled, write_facts, write_table
+from dayfold.sources.stored import STORED_SPEC, stored_facts
 from dayfold.sources.tables import facts_from_rows, read_facts
 
 SF = f"{TESTDATA}/sf0.01"
@@ -149,11 +152,31 @@ def test_settling_without_a_folder_is_refused_on_a_cluster(spark, monkeypatch):
         pass
 
 
-def test_stored_facts_leave_nothing_behind(spark, shared_dir):
-    own = Path(shared_dir.removeprefix("file://")) / "dayfold"
+def test_stored_facts_are_written_once_for_what_the_sources_hold(spark, tmp_path):
+    source, folder = tmp_path / "source", str(tmp_path / "stored")
+    source.mkdir()
+    for name in TABLES:
+        shutil.copyfile(f"{SF}/{name}.parquet", source / f"{name}.parquet")
     expected = sorted(map(str, rows(QUERIES["region_snapshot"](spark, SF))))
-    assert sorted(map(str, rows(QUERIES["stored_snapshot"](spark, SF)))) == expected
-    assert not list(own.glob("facts-*"))
+
+    def stored():
+        path = stored_facts(Shipments(spark, str(source)), "month", folder)
+        facts = read_facts(spark, path, STORED_SPEC.month)
+        return path, sorted(map(str, rows(snapshot_rows(facts, STORED_SPEC).withColumn(
+            "active_per_100k", F.round("active_per_100k", 6)
+        ))))
+
+    path, first = stored()
+    written = {p: p.stat().st_mtime_ns for p in Path(path).rglob("part-*")}
+    again, second = stored()
+    assert (path, first) == (again, second) and first == expected and len(written) > 12
+    assert written == {p: p.stat().st_mtime_ns for p in Path(path).rglob("part-*")}
+    # A write that broke off is not read, and another source is another table.
+    (Path(path) / "_SUCCESS").unlink()
+    next(iter(written)).unlink()
+    assert stored() == (path, expected)
+    os.utime(source / "lineitem.parquet", (1, 1))
+    assert stored()[0] != path
 
 
 # Files that differ from what is declared.
