@@ -9,8 +9,12 @@ partition at least the sets differ in one element or none, so that they agree on
 of its three parts: a set's signatures are its projections on every two parts of
 every partition. Similar sets share one; no other threshold or cap applies.
 
-Sets that share a signature are gathered into candidate groups, and within these
-every set is compared with every other exactly. Equal sets are one throughout.
+Few elements make a signature, now and then none, so sets that are not alike share some
+as well. Every set therefore has a sketch too: for each of its places, whether an odd
+number of elements fall there. Sketches differ in no more places than sets in elements.
+Sets that share a signature and whose sketches are near enough are linked; what links
+connect is a candidate group, and within it every set is compared with every other
+exactly. Equal sets are one throughout.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayfold.llm.blocks import MESSAGE, firsts, messages, pack_values, unpack, unpack_values
+from dayfold.llm.blocks import MESSAGE, firsts, messages, unpack, unpack_values
 from dayfold.llm.components import connected, star
 from dayfold.llm.shared import block_count, counted, cut, settled
 from dayfold.llm.words import GOLDEN, grams, inside, mix, slices, words_of
@@ -40,7 +44,10 @@ BLOCK_SETS = 1_024
 # Postings gone through at a time in a task.
 STRIDE = 4 << 20
 
-SETS = "doc_id bigint, size bigint, digest_high bigint, digest_low bigint"
+# Places of the smallest sketch; larger ones have two for each element, as a power of two.
+SKETCH_BITS = 256
+
+SETS = "doc_id bigint, size bigint, digest_high bigint, digest_low bigint, sketch binary"
 
 
 class Sets:
@@ -73,6 +80,43 @@ class Sets:
             sums.append(mix(total).view(np.int64))
         return sums[0], sums[1]
 
+    def sketches(self) -> list[bytes]:
+        """A bit for each place: whether an odd number of elements fall there."""
+        bits = np.full(len(self.sizes), SKETCH_BITS, np.int64)
+        while (short := bits < 2 * self.sizes).any():
+            bits[short] *= 2
+        ends = np.cumsum(bits)
+        begins = ends - bits
+        place = mix(self.hashes + GOLDEN) & (bits[self.text] - 1).astype(np.uint64)
+        counts = np.bincount(begins[self.text] + place.astype(np.int64), minlength=bits.sum())
+        packed = np.packbits((counts & 1).astype(np.uint8)).tobytes()
+        return [packed[a // 8 : b // 8] for a, b in zip(begins.tolist(), ends.tolist())]
+
+
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of the same set with so many bytes, which are fewer or as many."""
+    parts = np.frombuffer(sketch, np.uint64).reshape(-1, size // 8)
+    return np.bitwise_xor.reduce(parts, axis=0)
+
+
+def near(
+    sizes: np.ndarray, sketches: list[bytes], block: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets that may be similar by their sketches: all there are in one block,
+    or those across two."""
+    least = min(map(len, sketches))
+    rows = np.stack([folded(sketch, least) for sketch in sketches])
+    across = block != block[0]
+    a, b = [], []
+    for i in np.flatnonzero(~across) if across.any() else range(len(rows)):
+        others = np.flatnonzero(across) if across.any() else np.arange(i + 1, len(rows))
+        differ = np.bitwise_count(rows[others] ^ rows[i]).sum(axis=1, dtype=np.int64)
+        may = differ * (100 + percent) <= (sizes[others] + sizes[i]) * (100 - percent)
+        b.append(others[may])
+        a.append(np.full(len(b[-1]), i))
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(none + a), np.concatenate(none + b)
+
 
 @cache
 def bands(percent: int, most: int) -> np.ndarray:
@@ -128,7 +172,8 @@ def set_table(docs: DataFrame, id: str, text: str, words: int) -> DataFrame:
         for batch in chain.from_iterable(slices(b, "text") for b in batches):
             sets = Sets(batch.column("text"), words)
             high, low = sets.digests()
-            columns = [batch.column("doc_id"), *map(pa.array, (sets.sizes, high, low))]
+            sketches = pa.array(sets.sketches(), pa.binary())
+            columns = [batch.column("doc_id"), *map(pa.array, (sets.sizes, high, low)), sketches]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SETS.split(", ")])
 
     return _texts(docs, id, text).mapInArrow(sized, SETS)
@@ -140,88 +185,89 @@ def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
 
 
-def candidate_links(
+BUCKETS = "bucket bigint, digest_high bigint"
+
+
+def shared_signatures(
     docs: DataFrame, parts: int, id: str, text: str, words: int, percent: int
 ) -> DataFrame:
-    """Links (a, b) that connect all documents which share a signature.
+    """The sets that share a signature, as ``bucket`` and the half of their digests.
 
-    A batch of documents sends each signature once, with the least id that has it, so
-    that copies and common signatures are few entries; what shares one within the
-    batch is linked there.
+    A batch of documents sends each signature once for each of its sets, so that copies
+    are few entries. Signatures that the same sets share are one bucket. Another set with
+    the same half of its digest is compared in vain.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chain.from_iterable(slices(b, "text") for b in batches):
-            table = pa.table(batch).filter(batch.column("doc_id").is_valid()).sort_by("doc_id")
-            ids = table["doc_id"].to_numpy()
-            sets = Sets(table["text"], words)
-            # Of equal sets the first stands for all.
-            order = np.lexsort(sets.digests())
-            high, low = (d[order] for d in sets.digests())
+            sets = Sets(batch.column("text"), words)
+            high, low = sets.digests()
+            order = np.lexsort((low, high))
             new = np.ones(len(order), bool)
-            new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-            among = order[new]
-            keys, owner = signatures(sets, among[sets.sizes[among] > 0], percent)
-            owner = ids[owner]
-            order = np.lexsort((owner, keys))
-            keys, owner = keys[order], owner[order]
-            begins = firsts(keys)
-            least = np.repeat(owner[begins], np.diff(np.append(begins, len(keys))))
-            other = owner != least
-            a, b = star(owner[other], least[other])
-            sent = messages(0, parts, keys[begins], owner[begins])
-            if len(a):
-                part = int(a[0]) % parts
-                links = [(1, part, b"", pack_values(a, b))]
-                rows = [dict(zip(("block", "part", "keys", "values"), r)) for r in links]
-                sent = pa.concat_tables([sent, pa.Table.from_pylist(rows, sent.schema)])
-            yield from sent.to_batches()
+            new[1:] = (high[order[1:]] != high[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+            one = order[new]
+            keys, owner = signatures(sets, one[sets.sizes[one] > 0], percent)
+            order = np.argsort(keys, kind="stable")
+            yield from messages(0, parts, keys[order], high[owner[order]]).to_batches()
 
     def answer(table: pa.Table) -> pa.Table:
-        keys, owner, a, b = [], [], [], []
-        for row in table.to_pylist():
-            if row["block"]:
-                one, two = unpack_values(row["values"], 2)
-                a.append(one)
-                b.append(two)
-            else:
-                keys.append(unpack(row["keys"]))
-                owner.append(unpack_values(row["values"], 1)[0])
-        if keys:
-            key, ids = np.concatenate(keys), np.concatenate(owner)
-            order = np.lexsort((ids, key))
-            key, ids = key[order], ids[order]
-            begins = firsts(key)
-            least = np.repeat(ids[begins], np.diff(np.append(begins, len(key))))
-            other = ids != least
-            a.append(ids[other])
-            b.append(least[other])
+        key = np.concatenate([unpack(k.as_py()) for k in table["keys"]])
+        digest = np.concatenate([unpack_values(v.as_py(), 1)[0] for v in table["values"]])
+        order = np.lexsort((digest, key))
+        key, digest = key[order], digest[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])
+        key, digest = key[new], digest[new]
+        begins = firsts(key)
+        sizes = np.diff(np.append(begins, len(key)))
+        held = np.add.reduceat(mix(digest.view(np.uint64) ^ GOLDEN), begins)
+        several = np.flatnonzero(sizes > 1)
+        bucket, first = np.unique(mix(held[several]), return_index=True)
+        chosen = several[first]
+        begins, sizes = begins[chosen], sizes[chosen]
+        at = np.arange(sizes.sum()) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
+        return pa.table({"bucket": np.repeat(bucket.view(np.int64), sizes), "digest_high": digest[at]})
+
+    texts = _texts(docs, id, text).where("doc_id IS NOT NULL")
+    sent = texts.mapInArrow(ask, MESSAGE)
+    return sent.groupBy("part").applyInArrow(answer, BUCKETS).distinct()
+
+
+def near_links(buckets: DataFrame, classes: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect all classes which share a signature and have sketches
+    near enough. A large bucket is compared in pairs of blocks, tasks of their own."""
+    large = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets"))
+    large = large.where(F.col("sets") > BLOCK_SETS)
+    blocks = F.ceil(F.coalesce("sets", F.lit(1)) / BLOCK_SETS).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    one, two = F.least("block", "other"), F.greatest("block", "other")
+    sketched = (
+        buckets.join(counted(large), "bucket", "left")
+        .withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("digest_high"), F.col("blocks")).cast("int"))
+        .select("bucket", "digest_high", "block", other)
+        .select("digest_high", "block", F.xxhash64("bucket", one, two).alias("group"))
+        .join(classes.select("digest_high", "class_id", "size", "sketch"), "digest_high")
+        .withColumn("task", F.pmod("group", F.lit(parts)))
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("group", "ascending"), ("block", "ascending")])
+        group, ids = table["group"].to_numpy(), table["class_id"].to_numpy()
+        sizes, block = table["size"].to_numpy(), table["block"].to_numpy()
+        sketches = table["sketch"].to_pylist()
+        begins = firsts(group).tolist()
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j in zip(begins, [*begins[1:], len(group)]):
+            one, two = near(sizes[i:j], sketches[i:j], block[i:j], percent)
+            a.append(ids[i:j][one])
+            b.append(ids[i:j][two])
+            if len(a[-1]) > j - i:
+                a[-1], b[-1] = star(a[-1], b[-1])
         a, b = star(np.concatenate(a), np.concatenate(b))
-        # To the document's share of all documents, where parts' links are joined.
-        block = (mix(a.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(block, kind="stable")
-        a, b, block = a[order], b[order], block[order]
-        begins = firsts(block)
-        rows = [
-            {"block": int(block[i]), "part": table["part"][0].as_py(), "keys": b"",
-             "values": pack_values(a[i:j], b[i:j])}
-            for i, j in zip(begins, np.append(begins[1:], len(block)))
-        ]
-        return pa.Table.from_pylist(rows, table.schema)
-
-    def merge(table: pa.Table) -> pa.Table:
-        pairs = [unpack_values(v.as_py(), 2) for v in table["values"]]
-        a, b = star(*np.concatenate(pairs, axis=1))
         return pa.table({"a": a, "b": b})
 
-    return (
-        _texts(docs, id, text)
-        .mapInArrow(ask, MESSAGE)
-        .groupBy("part")
-        .applyInArrow(answer, MESSAGE)
-        .groupBy("block")
-        .applyInArrow(merge, "a bigint, b bigint")
-    )
+    return sketched.groupBy("task").applyInArrow(compare, "a bigint, b bigint")
 
 
 def _compared(words: int, percent: int):
@@ -307,21 +353,14 @@ def jaccard_join(
     sets = settled(set_table(docs, id, text, words))
     digest = ["digest_high", "digest_low"]
     some = sets.where(F.col("doc_id").isNotNull() & (F.col("size") > 0))
-    classes = some.groupBy(*digest).agg(
-        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")
-    )
-    member = settled(
-        some.select("doc_id", *digest).distinct().join(classes, digest).select(
-            "doc_id", "class_id", "copies", *digest
-        )
+    head = F.min(F.struct("doc_id", "size", "sketch")).alias("head")
+    classes = settled(
+        some.groupBy(*digest)
+        .agg(head, F.count(F.lit(1)).alias("copies"))
+        .select(*digest, F.col("head.doc_id").alias("class_id"), "head.size", "head.sketch", "copies")
     )
-    links = candidate_links(docs, parts, id, text, words, percent)
-    # From documents to the classes that stand for them.
-    of = member.select("doc_id", "class_id")
-    for end in ("a", "b"):
-        of_end = of.select(F.col("doc_id").alias(end), F.col("class_id").alias(f"{end}_class"))
-        links = links.join(of_end, end)
-    links = links.select(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
+    buckets = settled(shared_signatures(docs, parts, id, text, words, percent))
+    links = near_links(buckets, classes, parts, percent)
     groups = connected(links)
     groups = cut(
         groups.unionAll(groups.select(F.col("root").alias("node"), "root").distinct())
@@ -331,12 +370,11 @@ def jaccard_join(
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # Every pair of a group's blocks is a task, and a set goes where its block is.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    heads = member.where(F.col("doc_id") == F.col("class_id"))
     tasks = (
         groups.join(sizes.select("root", blocks.alias("blocks")), "root")
         .withColumn("block", block)
         .select("node", "root", "block", other)
-        .join(heads.withColumnRenamed("class_id", "node").drop("doc_id"), "node")
+        .join(classes.select(F.col("class_id").alias("node"), "copies", *digest), "node")
         .select(
             F.col("node").alias("class_id"),
             "root",
@@ -359,7 +397,8 @@ def jaccard_join(
         compared.where("root IS NOT NULL").select(F.col("class_id").alias("a"), F.col("root").alias("b"))
     )
     found = (
-        classes.join(counts, "class_id", "left")
+        classes.drop("size", "sketch")
+        .join(counts, "class_id", "left")
         .join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
         .select(
             *digest,

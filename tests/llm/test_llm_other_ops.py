@@ -329,7 +329,7 @@ def test_pipeline_stages_take_awkward_and_empty_documents(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels", "benchmark"):
+    for t in ("documents", "embeddings", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
@@ -339,7 +339,7 @@ def test_query_matches_its_sql(spark, name):
     )
 
 
-NATIVE = ["op4_sharding", "op7_pii"]
+NATIVE = ["op4_sharding", "op7_pii", "op13_secret_scan"]
 
 
 @pytest.mark.parametrize("name", NATIVE)
@@ -349,4 +349,4 @@ def test_native_operators_run_no_python(spark, name):
 
 
 def test_each_dealt_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
