@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.shared import settled
+from dayfold.llm.spans import let
 
 # A larger mean is drawn as a sum of equal ones, each no larger than this.
 PART_MEAN = 16
@@ -116,11 +117,15 @@ def mix_sources(
     )
     if known <= BROADCAST_SOURCES:
         plans = F.broadcast(plans)
+
+    def drawn_in(part: Column) -> Column:
+        return let(
+            _draw(F.col(id), part, seed),
+            lambda draw: F.size(F.filter("_mix_below", lambda below: below <= draw)),
+        )
+
     drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("_mix_parts")),
-        F.lit(0),
-        lambda n, part: n
-        + F.size(F.filter("_mix_below", lambda below: below <= _draw(F.col(id), part, seed))),
+        F.sequence(F.lit(1), F.col("_mix_parts")), F.lit(0), lambda n, part: n + drawn_in(part)
     )
     counted = docs.join(plans, F.col(source).eqNullSafe(F.col("_mix_source"))).select(
         *[F.col(c) for c in docs.columns], drawn.alias("_mix_n")
