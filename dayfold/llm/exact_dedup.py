@@ -9,6 +9,7 @@ is checked against the whole digest stored for it.
 
 from __future__ import annotations
 
+import math
 from array import array
 from collections.abc import Iterator
 
@@ -20,6 +21,9 @@ SLOTS = 4
 LEAST_BUCKETS = 1 << 8
 KICKS = 200
 
+# Rows in one share of the index, some 150 bytes each.
+SHARE_ROWS = 1_000_000
+
 # Fixed value: odd multiplier that spreads a fingerprint over bucket numbers.
 SPREAD = 0x5BD1E995
 
@@ -198,12 +202,14 @@ def exact_dedup(
                 F.lit(True).alias("removed"),
             ).distinct()
         )
-    groups = (
-        added.mapInArrow(_combined, schema)
-        .repartition("digest")
-        .mapInArrow(_indexed, schema)
-        .drop("removed")
-    )
+    # A share of the index holds its digests in memory, so many rows need many shares.
+    shares = math.ceil(docs.count() / SHARE_ROWS)
+    combined = added.mapInArrow(_combined, schema)
+    if shares > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        combined = combined.repartition(shares, "digest")
+    else:
+        combined = combined.repartition("digest")
+    groups = combined.mapInArrow(_indexed, schema).drop("removed")
     copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")
     stays = (F.col("copy") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return (

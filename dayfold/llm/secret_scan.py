@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.llm.shared import BROADCAST_ROWS, cut, shared_folder
+from dayfold.llm.shared import BROADCAST_ROWS, copies_folder, cut
 from dayfold.llm.spans import with_matches
 
 LEDGER = "blob binary, rules array<string>, spans array<struct<rule:string,start:int,end:int>>"
@@ -171,11 +171,11 @@ def scan_secrets(
     start, end) in code points, by start, then by rule as listed.
 
     The ledger in folder ``ledger`` is brought up to date first; without one a new one
-    is begun in the shared folder. Null and empty texts are one blob without spans.
+    is begun among this application's copies in the shared folder. Null and empty texts are one blob without spans.
     Repeated rows and null ids give rows as any other; other columns are not read.
     """
     spark = docs.sparkSession
-    path = ledger or f"{shared_folder(spark)}/dayfold-llm/ledger-{uuid.uuid4().hex}"
+    path = ledger or f"{copies_folder(spark)}/ledger-{uuid.uuid4().hex}"
     update_ledger(docs, path, rules, text)
     found = findings(read_ledger(spark, path), rules)
     none = F.lit([]).cast("array<struct<rule:string,start:int,end:int>>")

@@ -30,17 +30,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def copies_folder(spark: SparkSession) -> str:
+    """Where this application's copies of tables lie."""
+    return f"{shared_folder(spark)}/dayfold-llm/{spark.sparkContext.applicationId}"
+
+
+def clear_copies(spark: SparkSession) -> None:
+    """Remove all copies of this application. Results that have not been written or
+    collected yet can't be read after it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(copies_folder(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and go on from the copy.
 
     Cuts the lineage, survives lost executors, and spares readers the work
-    before it. Copies lie under ``dayfold-llm/`` in the checkpoint folder, whose
-    owner clears it; a lazy result may still read them, so they stay here.
+    before it. A lazy result may still read the copy, so it stays until
+    ``clear_copies`` or the folder's owner removes it.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/dayfold-llm/{uuid.uuid4().hex}"
+    path = f"{copies_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut(df: DataFrame) -> DataFrame:

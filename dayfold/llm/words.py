@@ -21,7 +21,7 @@ MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX2 = np.uint64(0x94D049BB133111EB)
 
 # Text worked on at a time.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 3 << 20
 
 # Bytes of the words that are hashed together.
 SHORT = 64

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -12,18 +13,18 @@ import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import TESTDATA
-from llm_cases import collected, documents, texts
+from llm_cases import collected, documents, shingles, texts
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dayfold.llm.byte_bpe import ByteBpe, decode, encode, read_ranks
 from dayfold.llm.exact_dedup import exact_dedup
-from dayfold.llm.jaccard_join import jaccard_join
 from dayfold.llm.mixing import PART_MEAN, mix_sources, tempered_weights
 from dayfold.llm.oracle import ORACLE
 from dayfold.llm.quality import Settings, learned, probability, score, train
 from dayfold.llm.queries import QUERIES, RANKS
 from dayfold.llm.sharding import shard_rows
+from dayfold.llm.shared import clear_copies, copies_folder, settled
 from dayfold.llm.topk import top_k
 
 SF = f"{TESTDATA}/sf0.01"
@@ -280,6 +281,30 @@ def test_top_k(spark, monkeypatch, segment, candidates):
 # The pipeline, the oracles, and all queries
 
 
+def similar(rows, words, percent):
+    """For each text the least id that links of similar sets lead to."""
+    sets = {i: shingles(t, words) for i, t in rows.items()}
+    holders = collections.defaultdict(list)
+    for i, s in sorted(sets.items()):
+        for x in s:
+            holders[x].append(i)
+    common = collections.Counter(
+        (a, b) for ids in holders.values() for n, a in enumerate(ids) for b in ids[n + 1 :]
+    )
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for (a, b), n in common.items():
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+            low, high = sorted((top(a), top(b)))
+            root[high] = low
+    return {i: top(i) for i in sets}
+
+
 def test_pipeline_against_its_operators_in_plain_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     table = {r["doc_id"]: r for r in docs.collect()}
@@ -300,9 +325,9 @@ def test_pipeline_against_its_operators_in_plain_python(spark):
         newest[table[i]["text"] or ""] = max(i, newest.get(table[i]["text"] or "", i))
     assert sorted(r["doc_id"] for r in distinct.collect()) == sorted(newest.values())
     unlike = steps["n-gram Jaccard join"](spark, distinct, SF)
-    groups = jaccard_join(distinct, words=5, percent=80).collect()
+    least = similar({i: table[i]["text"] for i in newest.values()}, 5, 80)
     left = sorted(r["doc_id"] for r in unlike.collect())
-    assert left == sorted({r["component_id"] for r in groups}) and len(left) < len(newest)
+    assert left == sorted(i for i, root in least.items() if i == root) and len(left) < len(newest)
     mixed = steps["mixing sources"](spark, unlike, SF)
     assert distinct.columns == unlike.columns == mixed.columns == columns
     copies = collections.Counter(r["doc_id"] for r in mixed.collect())
@@ -350,3 +375,22 @@ def test_native_operators_run_no_python(spark, name):
 
 def test_each_dealt_operator_has_a_query():
     assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
+
+
+def test_copies_are_cleared(spark):
+    docs = documents(spark)
+    copy = settled(docs)
+    assert copy.count() == len(texts())
+    clear_copies(spark)
+    with pytest.raises(Exception, match="(?i)does not exist|no such file|not found"):
+        spark.read.parquet(copies_folder(spark)).count()
+
+
+def test_exact_dedup_in_many_shares(spark, monkeypatch):
+    docs = documents(spark)
+    expected = collected(exact_dedup(docs))
+    monkeypatch.setattr("dayfold.llm.exact_dedup.SHARE_ROWS", 3)
+    found = exact_dedup(docs)
+    assert collected(found) == expected
+    assert re.search(r"hashpartitioning\(digest#\d+, (\d+)\), REPARTITION_BY_NUM",
+                     found._jdf.queryExecution().executedPlan().toString())
