@@ -7,7 +7,8 @@ longest tokens, taking a token only where BPE would leave it beside the one
 before, and backs up to shorter tokens or to the token before otherwise; a byte
 found not to be a border is never tried again.
 Whether two tokens may stand side by side is worked out by undoing their merges
-and remembered. The outcome equals merging pairs by rank, in linear time.
+and remembered. The outcome equals merging pairs by rank, in time proportional to the
+text for a given vocabulary.
 
 A null text counts as empty and has no ids.
 """
@@ -27,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from dayfold.llm.words import slices
+
 # A rank file is sent to every executor; larger ones are refused.
 RANK_FILE_BYTES = 64 << 20
 
@@ -35,8 +38,9 @@ WORDS = 150_000
 PAIRS = 1_000_000
 WORD_LETTERS = 48
 
-# Rows worked on at a time.
+# Rows, and bytes of text if these are fewer, worked on at a time.
 SLICE = 1_000
+SLICE_BYTES = 1 << 20
 
 # A space beside other white space.
 WIDE_SPACE = re.compile(r" \s|\s ")
@@ -58,6 +62,7 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         self.apart = apart
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.longest = max(map(len, ranks))
         self.id_of = {token.decode("latin-1"): rank for token, rank in ranks.items()}
         self.length = {rank: len(token) for token, rank in ranks.items()}
         self.halves: dict[int, tuple[int, int]] = {}  # the pair a token was merged from
@@ -124,7 +129,7 @@ class ByteBpe:
         if whole is not None:
             return [whole]
         size, length, shorter, beside = len(letters), self.length, self.shorter, self.beside
-        starting = self.automaton.iter_long
+        starting, longest = self.automaton.iter_long, self.longest
         # The longest token at 0, at its end, and so on: where BPE mostly ends up.
         ahead = starting(letters)
         border = bytearray(b"\x01") * (size + 1)
@@ -139,7 +144,7 @@ class ByteBpe:
                     if end == size:
                         return out
                     if ahead is None:
-                        token = next(starting(letters, end))[1]
+                        token = next(starting(letters[end : end + longest]))[1]
                     else:
                         token = next(ahead)[1]
                     at = end
@@ -215,15 +220,15 @@ def _sent(docs: DataFrame, ranks: str):
     return docs.sparkSession.sparkContext.broadcast(rank_file)
 
 
-def _appended(docs: DataFrame, work, **columns: T.DataType) -> DataFrame:
+def _appended(docs: DataFrame, work, text: str | None, **columns: T.DataType) -> DataFrame:
     """``docs`` with new columns, which ``work`` makes for a slice of rows."""
     docs = docs.drop(*columns)
     schema = T.StructType([*docs.schema.fields, *(T.StructField(*c) for c in columns.items())])
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), SLICE):
-                part = batch.slice(at, SLICE)
+            rows = (batch.slice(at, SLICE) for at in range(0, len(batch), SLICE))
+            for part in chain.from_iterable(slices(r, text, SLICE_BYTES) if text else [r] for r in rows):
                 names = [*part.schema.names, *columns]
                 yield pa.RecordBatch.from_arrays([*part.columns, *work(part)], names=names)
 
@@ -264,7 +269,7 @@ def encode(
         more = [pa.array(map(bpe.decode, ids), pa.binary())] if decoded else []
         return [_lists(ids), *more]
 
-    return _appended(docs, work, **columns)
+    return _appended(docs, work, text, **columns)
 
 
 def decode(
@@ -282,7 +287,7 @@ def decode(
         rows = part.column(ids).to_pylist()
         return [pa.array([b"".join(map(token, row or ())) for row in rows], pa.binary())]
 
-    return _appended(encoded, work, **{out: T.BinaryType()})
+    return _appended(encoded, work, None, **{out: T.BinaryType()})
 
 
 @lru_cache(maxsize=2)

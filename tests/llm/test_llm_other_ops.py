@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -241,6 +242,23 @@ def test_random_texts_encode_as_by_merging(reference):
                 assert bpe.decode(ids) == text.encode()
 
 
+def test_long_matches_take_time_in_proportion(reference):
+    with open(RANKS, "rb") as file:
+        bpe = ByteBpe(file.read(), public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=160_000))
+    assert bpe.encode(text[:20_000]) == reference.encode_ordinary(text[:20_000])
+
+    def seconds(n):
+        begun = time.perf_counter()
+        ids = bpe.encode(text[:n])
+        assert bpe.decode(ids) == text[:n].encode()
+        return time.perf_counter() - begun
+
+    few, many = seconds(40_000), seconds(160_000)
+    assert many < 8 * few + 0.5
+
+
 # Search
 
 
