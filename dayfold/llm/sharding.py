@@ -9,7 +9,8 @@ fill what remains, which makes the sizes exact.
 
 Documents of a group on the same shard are alike, so rounds work on their counts:
 a group is a few rows however many copies it has. Only built-in DataFrame
-functions run.
+functions run. After ``ROUNDS`` rounds documents stay where they are, though some may
+still want to move.
 """
 
 from __future__ import annotations

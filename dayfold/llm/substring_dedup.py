@@ -1,12 +1,13 @@
 """Substring dedup by relative Lempel-Ziv parsing over words.
 
-Every document is factored against the corpus of documents with smaller ids: its
-factors are the longest stretches that run on in one earlier document. The
-reference is indexed by windows of ``WINDOW`` words, in parts by hash, and a
-factor is followed from window to window for as long as its source runs on; so all
-factors of at least ``WINDOW`` words are found. Where one factor ends and another
-begins, the windows across the border are looked up like any other, so that a
-repeat made of two factors is seen as well.
+Every document is factored against the corpus of documents with smaller ids. The
+reference is indexed by windows of ``WINDOW`` words, in parts by hash; of each window
+the index knows one source, its place in the earliest document that holds it. A factor
+is followed from window to window for as long as that source runs on, so every word
+that a repeated window covers is in a factor. A stretch that runs on longer in a later
+document than in the earliest is several factors, which overlap, instead of the longest
+one that a greedy parse would take; what is removed is the same. Where one factor ends
+and another begins, the windows across the border are looked up like any other.
 
 Not every window is sent to the index. Two equal windows have equal anchors, the
 least hash of the ``ANCHOR``-word grams in them, and a window whose anchor occurs

@@ -8,7 +8,12 @@ is no better than where the list stands (upper bound) and no worse than its end
 cannot qualify; when few are left their scores are resolved. Segments later in a
 block start with the scores of those before. The bests of all blocks are merged.
 
-Equal candidates are read once: of each vector the least ids suffice.
+A task reads its lists as matrix products over all its candidates, and on vectors
+without much structure most candidates stay in question and are resolved by the plain
+product.
+
+Equal candidates are read once: of each vector the least ids suffice. Of rows with the
+same id and vector one counts, and none is a candidate of its own id.
 """
 
 from __future__ import annotations
