@@ -6,6 +6,8 @@ shuffle one row per group and task.
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,30 +17,27 @@ from dayfold.operators.latest import Latest, last_row_per_key
 from dayfold.schema import DEFAULT_SPEC, PanelSpec
 
 
-def _summary(
-    df: DataFrame,
-    confirmed: Column,
-    deaths: Column,
-    recoveries: Column,
-    total_active: Column | None,
-) -> DataFrame:
+def _sums(
+    confirmed: Column, deaths: Column, recoveries: Column, total_active: Column | None
+) -> Column:
+    """Four totals as one value of an aggregate; zeros where there are no rows."""
+
     def total(c: Column) -> Column:
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
-    sums = [
+    by_difference = active(total(confirmed), total(recoveries))
+    return F.struct(
         total(confirmed).alias("total_confirmed"),
         total(deaths).alias("total_deaths"),
         total(recoveries).alias("total_recoveries"),
-    ]
-    if total_active is not None:
-        sums.append(total(total_active).alias("total_active"))
-    out = df.agg(*sums)
-    if total_active is None:
-        out = out.withColumn(
-            "total_active", active(F.col("total_confirmed"), F.col("total_recoveries"))
-        )
+        (by_difference if total_active is None else total(total_active)).alias("total_active"),
+    )
+
+
+def _with_rates(totals: DataFrame, *more: str) -> DataFrame:
     cases = F.col("total_confirmed")
-    return out.select(
+    return totals.select(
+        *more,
         "total_confirmed",
         "total_deaths",
         "total_recoveries",
@@ -50,9 +49,16 @@ def _summary(
 
 def global_summary(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:
     """Six totals over **all rows**, in one pass; zeros for an empty table."""
-    return _summary(
-        facts, F.col(spec.confirmed), F.col(spec.deaths), F.col(spec.recoveries), None
-    )
+    sums = _sums(F.col(spec.confirmed), F.col(spec.deaths), F.col(spec.recoveries), None)
+    return _with_rates(facts.agg(sums.alias("sums")).select("sums.*"))
+
+
+def _sums_of_last(columns: Collection[str], spec: PanelSpec) -> Column:
+    """The totals of last rows, by the columns that are there."""
+    recoveries = F.col(spec.recoveries) if spec.recoveries in columns else F.lit(0)
+    ready = spec.active in columns
+    per_row = F.col(spec.active) if ready else active(F.col(spec.confirmed), recoveries)
+    return _sums(F.col(spec.confirmed), F.col(spec.deaths), recoveries, per_row)
 
 
 def global_summary_latest(
@@ -63,15 +69,25 @@ def global_summary_latest(
     A table without recoveries counts them as 0, and an existing active column
     is preferred over the difference.
     """
-    columns = set(facts.columns)
-    recoveries = F.col(spec.recoveries) if spec.recoveries in columns else F.lit(0)
-    per_row = (
-        F.col(spec.active)
-        if spec.active in columns
-        else active(F.col(spec.confirmed), recoveries)
-    )
+    sums = _sums_of_last(facts.columns, spec)
+    last = last_row_per_key(facts, spec, latest)
+    return _with_rates(last.agg(sums.alias("sums")).select("sums.*"))
+
+
+def summaries_latest(
+    facts: DataFrame,
+    variants: Mapping[str, Collection[str]],
+    spec: PanelSpec = DEFAULT_SPEC,
+    latest: Latest = None,
+) -> DataFrame:
+    """``global_summary_latest`` for each ``variant``, as if the facts had its columns
+    alone. Last rows are found once, so the tiebreak must be the spec's."""
+    if not spec.tiebreak:
+        raise ValueError("variants need a tiebreak that does not depend on their columns")
     last = last_row_per_key(facts, spec, latest)
-    return _summary(last, F.col(spec.confirmed), F.col(spec.deaths), recoveries, per_row)
+    sums = last.agg(*[_sums_of_last(c, spec).alias(name) for name, c in variants.items()])
+    each = F.array(*[F.struct(F.lit(n).alias("variant"), F.col(n).alias("sums")) for n in variants])
+    return _with_rates(sums.select(F.inline(each)).select("variant", "sums.*"), "variant")
 
 
 def sum_by_day(facts: DataFrame, spec: PanelSpec = DEFAULT_SPEC) -> DataFrame:

@@ -105,17 +105,13 @@ def global_summary_latest(ship):
 
 def global_summary_optional_cols(ship):
     """Once without recoveries, once with a ready active column."""
+    facts = ship.facts.withColumn("Active", F.col("Confirmed") - F.col("Deaths"))
     variants = {
-        "no_recoveries": ship.facts.drop("Recoveries"),
-        "active_given": ship.facts.withColumn("Active", F.col("Confirmed") - F.col("Deaths")),
+        "no_recoveries": [c for c in facts.columns if c not in ("Recoveries", "Active")],
+        "active_given": facts.columns,
     }
-    first, second = (
-        totals.global_summary_latest(df, SHIPMENT_SPEC, ship.known_latest).select(
-            F.lit(name).alias("variant"), "*"
-        )
-        for name, df in variants.items()
-    )
-    return rounded(first.unionByName(second), "recovery_rate", "active_rate")
+    both = totals.summaries_latest(facts, variants, SHIPMENT_SPEC, ship.known_latest)
+    return rounded(both, "recovery_rate", "active_rate")
 
 
 def daily_totals(ship):

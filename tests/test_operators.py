@@ -28,6 +28,7 @@ from dayfold.operators.totals import (
     global_summary_latest,
     key_list,
     monthly_totals,
+    summaries_latest,
 )
 from dayfold.schema import PanelSpec
 
@@ -239,3 +240,29 @@ def test_lookup(tied):
     snap = snapshot_rows(tied)
     assert rows(lookup(snap, "A"))[0][4] == 27
     assert rows(lookup(snap, "nowhere")) == []
+
+
+def test_summaries_of_several_variants_share_the_last_rows(spark):
+    spec = PanelSpec(tiebreak=("id",))
+    table = facts(
+        spark,
+        fact("A", 0, 100, 1, 50, id=1),
+        fact("A", 1, 7, 2, 3, id=2),
+        fact("A", 1, 9, 4, 5, id=3),
+        fact("B", 0, 20, 6, 1, id=4),
+    ).withColumn("Active", F.lit(2))
+    kept = {
+        "plain": [c for c in table.columns if c != "Active"],
+        "no_recoveries": [c for c in table.columns if c not in ("Active", "Recoveries")],
+        "ready": table.columns,
+    }
+    both = summaries_latest(table, kept, spec)
+    expected = [
+        (name, *rows(global_summary_latest(table.select(*columns), spec))[0])
+        for name, columns in kept.items()
+    ]
+    assert rows(both) == expected
+    none = summaries_latest(table.limit(0), {"plain": kept["plain"]}, spec)
+    assert rows(none) == [("plain", 0, 0, 0, 0, 0.0, 0.0)]
+    with pytest.raises(ValueError, match="tiebreak"):
+        summaries_latest(table, kept)
